@@ -19,8 +19,8 @@ from pyspark.sql.types import StringType
 from quillgraph.session import cut, spread
 
 # Letters of other alphabets drawn like a Latin letter.
-_TWIN_FROM = "АВЕЅІЈКМНОРСТХУаеорсухіјѕԁԛԝһӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοʼ"
-_TWIN_TO = "ABESIJKMHOPCTXYaeopcyxijsdqwhlABEZHIKMNOPTYXo'"
+_TWIN_FROM = "АВЕЅІЈКМНОРСТХУаеорсухіјѕԁԛԝһӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧοʼ∆"
+_TWIN_TO = "ABESIJKMHOPCTXYaeopcyxijsdqwhlABEZHIKMNOPTYXo'Δ"
 TWINS = str.maketrans(_TWIN_FROM, _TWIN_TO)
 
 # Unicode's default-ignorable code points.
