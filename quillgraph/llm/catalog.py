@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
-from quillgraph.llm import distinctive, glyphs
+from quillgraph.llm import distinctive, encoding, glyphs, leakage, markup, packing, privacy, sentences
 from quillgraph.session import table, tune
 
 
-def _p3_found(spark, folder):
-    tune(spark)
-    return glyphs.found(table(spark, folder, "equations"), table(spark, folder, "dataset"))
+def _query(build, *names):
+    def run(spark, folder):
+        tune(spark)
+        return build(*(table(spark, folder, n) for n in names))
 
-
-def _p4_found(spark, folder):
-    tune(spark)
-    return distinctive.found(table(spark, folder, "dataset"))
-
-
-def _p4_scores(spark, folder):
-    tune(spark)
-    return distinctive.symbol_scores(table(spark, folder, "dataset"))
+    return run
 
 
 def queries():
-    return {"p3_found": _p3_found, "p4_found": _p4_found, "p4_scores": _p4_scores}
+    """Name to query; a query takes the session and a data folder."""
+    return {
+        "p2_found": _query(markup.found, "equations", "dataset"),
+        "p2_clean": _query(lambda e, d: markup.clean(markup.fields_of(e, d)), "equations", "dataset"),
+        "p3_found": _query(glyphs.found, "equations", "dataset"),
+        "p3_forms": _query(lambda e: glyphs.unify(e.select("row_id", "equation"), "equation", "form"), "equations"),
+        "p4_found": _query(distinctive.found, "dataset"),
+        "p4_scores": _query(distinctive.symbol_scores, "dataset"),
+        "p5_found": _query(encoding.found, "equations"),
+        "p5_restored": _query(lambda e: encoding.diagnose(encoding.fields_of(e)), "equations"),
+        "p6_found": _query(sentences.found, "equations", "sentence_tasks"),
+        "p7_containers": _query(packing.pack, "documents", "container_specs"),
+        "p8_found": _query(leakage.found, "documents", "eval_items"),
+        "p9_found": _query(privacy.found, "documents"),
+        "p9_redacted": _query(privacy.redact, "documents"),
+    }
 
 
 def oracle_sql():
