@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgraph.llm import distinctive, encoding, glyphs, leakage, markup, packing, privacy, sentences
+from quillgraph.llm import distinctive, encoding, glyphs, leakage, markup, packing, privacy, scans, sentences
 from quillgraph.session import table, tune
 
 
@@ -17,6 +17,8 @@ def _query(build, *names):
 def queries():
     """Name to query; a query takes the session and a data folder."""
     return {
+        "p1_found": _query(scans.found, "equations"),
+        "p1_damage": _query(scans.damage, "equations"),
         "p2_found": _query(markup.found, "equations", "dataset"),
         "p2_clean": _query(lambda e, d: markup.clean(markup.fields_of(e, d)), "equations", "dataset"),
         "p3_found": _query(glyphs.found, "equations", "dataset"),
