@@ -87,6 +87,14 @@ _QUALITY = (
     " + CASE equation_format WHEN 'latex' THEN 0.2 WHEN 'latex_ocr' THEN 0.15 WHEN 'latex_like_from_pdf' THEN 0.1 ELSE 0 END"
     f" + CASE equation_confidence WHEN 'high' THEN 0.2 WHEN 'medium' THEN 0.1 ELSE 0 END - CASE WHEN {_NOISY} THEN 0.3 ELSE 0 END)) END")
 
+_IN = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
+_WORDS = "string_split(coalesce(phrase, ''), ' ')"
+_NAMED = f"CASE WHEN len({_WORDS}) = 1 THEN regexp_full_match(coalesce(phrase, ''), '[A-Z]{{2,}}') ELSE len(list_filter({_WORDS}, lambda w: regexp_full_match(w, '[A-Z][A-Za-z0-9-]{{2,}}|[A-Z]{{2,}}'))) > 0 END"
+_VALID = f"""(NOT (length(coalesce(phrase, '')) < 3 OR (len({_WORDS}) = 1 AND lower(phrase) IN {_IN(T._GENERIC)}) OR len(list_filter({_WORDS}, lambda w: trim(replace(lower(w), '.', ' ')) IN {_IN(T._REFERENCES)})) > 0
+      OR regexp_full_match(phrase, '[A-Za-z]{{1,6}}\\d{{1,4}}[a-z]?') OR regexp_matches(phrase, '[A-Za-z]\\d{{4}}|\\d{{4}}[A-Za-z]') OR regexp_matches(phrase, '[^A-Za-z0-9 ''\\-/]') OR regexp_matches(lower(phrase), '{T._VERBS.replace(chr(92), chr(92))}')
+      OR regexp_matches(lower(phrase), '\\b{T._EDGE}\\s*$') OR regexp_matches(lower(phrase), '^(?:of|and|or|in|on|for|to|by|with|as|from|that|which)\\b') OR regexp_matches(phrase, '(?i)^(?:I{{1,3}}|IV|V?I{{0,3}}|I?X|X{{0,3}}I{{0,3}})(?:\\s+[A-Z])?$')
+      OR phrase IN ('LHS', 'RHS', 'lhs', 'rhs') OR length(regexp_replace(phrase, '[^A-Za-z]', '', 'g')) < 3 OR len({_WORDS}) > 6 OR (len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: length(w) <= 2)) * 2 > len({_WORDS}))) AND (len({_WORDS}) >= 2 OR {_NAMED}))"""
+
 _QUERIES: dict[str, tuple[Query, str | None]] = {}
 
 
@@ -236,7 +244,7 @@ def _o26(spark, folder):
     return R.prefer_main_body(_extracted(spark, folder), DOC, F.coalesce(F.col("section") == "Appendix A", F.lit(False))).select("row_id")
 
 
-@_add("o27_valid_phrases")
+@_add("o27_valid_phrases", f"SELECT cand_id, {_VALID} AS valid, {_NAMED} AS named FROM candidates")
 def _o27(spark, folder):
     return table(spark, folder, "candidates").select("cand_id", T.valid_phrase(F.col("phrase")).alias("valid"), T.looks_named(F.coalesce("phrase", F.lit(""))).alias("named"))
 
@@ -300,8 +308,8 @@ def _o38(spark, folder):
     return R.override_text(table(spark, folder, "equations").select("row_id", DOC, LABEL, "equation"), other, DOC, LABEL, "equation", []).select("row_id", "equation")
 
 
-@_add("o39_between", f"""SELECT g.arxiv_id, g.after_number, count(*) AS inside FROM (SELECT arxiv_id, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS after_number, n AS before_number FROM (SELECT DISTINCT arxiv_id, try_cast({_B} AS INTEGER) AS n FROM equations) WHERE n IS NOT NULL) g
-      JOIN relations r ON r.arxiv_id = g.arxiv_id AND try_cast(r.src AS INTEGER) > g.after_number AND try_cast(r.src AS INTEGER) < g.before_number WHERE g.before_number - g.after_number > 1 GROUP BY 1, 2""")
+@_add("o39_between", f"""SELECT g.arxiv_id, g.after_number, count(*) AS inside FROM (SELECT arxiv_id, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS after_number, n AS before_number FROM (SELECT DISTINCT arxiv_id, CASE WHEN regexp_full_match({_B}, '\\d+') THEN try_cast({_B} AS INTEGER) END AS n FROM equations) WHERE n IS NOT NULL) g
+      JOIN relations r ON r.arxiv_id = g.arxiv_id AND regexp_full_match(r.src, '\\d+') AND try_cast(r.src AS INTEGER) > g.after_number AND try_cast(r.src AS INTEGER) < g.before_number WHERE g.before_number - g.after_number > 1 GROUP BY 1, 2""")
 def _o39(spark, folder):
     gaps = R.numbering_gaps(table(spark, folder, "equations"), DOC, LABEL)
     edges = table(spark, folder, "relations").select(DOC, F.col("src").try_cast("int").alias("s")).where("s is not null").groupBy(DOC, "s").count()
@@ -377,7 +385,7 @@ def _o48(spark, folder):
     return R.best_candidate(rows, DOC, LABEL, "equation", "equation_confidence", "_p", ["row_id"]).select("row_id", "quality")
 
 
-@_add("o49_gaps", f"SELECT arxiv_id, p AS after_number, n AS before_number, n - p - 1 AS missing FROM (SELECT arxiv_id, n, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS p FROM (SELECT DISTINCT arxiv_id, try_cast({_B} AS INTEGER) AS n FROM equations) WHERE n IS NOT NULL) WHERE n - p > 1")
+@_add("o49_gaps", f"SELECT arxiv_id, p AS after_number, n AS before_number, n - p - 1 AS missing FROM (SELECT arxiv_id, n, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS p FROM (SELECT DISTINCT arxiv_id, CASE WHEN regexp_full_match({_B}, '\\d+') THEN try_cast({_B} AS INTEGER) END AS n FROM equations) WHERE n IS NOT NULL) WHERE n - p > 1")
 def _o49(spark, folder):
     return R.numbering_gaps(table(spark, folder, "equations"), DOC, LABEL)
 
@@ -388,7 +396,7 @@ def _o49r(spark, folder):
     return R.renumber(_extracted(spark, folder), DOC, LABEL, ["row_id"]).select("row_id", "new_label")
 
 
-@_add("o50_segments", f"SELECT row_id, sum(CASE WHEN NOT regexp_matches({_SQ('text_after')}, '^(=|\\+|-|\\\\pm|\\\\mp|\\\\left|\\\\right|\\\\begin|\\\\\\\\|where|and)') THEN 1 ELSE 0 END) OVER (PARTITION BY arxiv_id ORDER BY row_id ROWS UNBOUNDED PRECEDING) AS segment FROM equations")
+@_add("o50_segments", f"SELECT row_id, CAST(sum(CASE WHEN NOT regexp_matches({_SQ('text_after')}, '^(=|\\+|-|\\\\pm|\\\\mp|\\\\left|\\\\right|\\\\begin|\\\\\\\\|where|and)') THEN 1 ELSE 0 END) OVER (PARTITION BY arxiv_id ORDER BY row_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment FROM equations")
 def _o50(spark, folder):
     starts = R.starts_expression(F.col("text_after")) & ~T.squash(F.col("text_after")).rlike("^(?:where|and)")
     return R.segments(table(spark, folder, "equations"), DOC, ["row_id"], starts).select("row_id", "segment")
@@ -405,11 +413,10 @@ def _o52(spark, folder):
     return R.rank_sentences(table(spark, folder, "equations"), ["row_id"], "text_before", "text_after").select("row_id", "side", "distance", "sentence", "rank", "place")
 
 
-@_add("o53_select_meaning", """SELECT arxiv_id, eq_number, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY arxiv_id, eq_number ORDER BY tier, CASE WHEN stage = 'local cue' THEN 0 ELSE 1 END, CASE WHEN embedding_selected THEN 0 ELSE 1 END, distance, score DESC NULLS LAST, cand_id) AS r FROM
-      (SELECT *, row_number() OVER (PARTITION BY arxiv_id, eq_number, lower(phrase) ORDER BY tier, distance, cand_id) AS q FROM candidates WHERE regexp_full_match(phrase, '[A-Za-z][a-z]+(-[a-z]+)? [a-z]+')) WHERE q = 1) WHERE r = 1""")
+@_add("o53_select_meaning", f"""SELECT arxiv_id, eq_number, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY arxiv_id, eq_number ORDER BY tier, CASE WHEN stage = 'local cue' THEN 0 ELSE 1 END, CASE WHEN embedding_selected THEN 0 ELSE 1 END, distance, score DESC NULLS LAST, cand_id) AS r FROM
+      (SELECT *, row_number() OVER (PARTITION BY arxiv_id, eq_number, lower(phrase) ORDER BY tier, distance, cand_id) AS q FROM candidates WHERE {_VALID}) WHERE q = 1) WHERE r = 1""")
 def _o53(spark, folder):
-    rows = table(spark, folder, "candidates").where(F.col("phrase").rlike("^[A-Za-z][a-z]+(-[a-z]+)? [a-z]+$"))
-    return R.select_candidate(rows, DOC, LABEL).select(DOC, LABEL, "cand_id")
+    return R.select_candidate(table(spark, folder, "candidates"), DOC, LABEL).select(DOC, LABEL, "cand_id")
 
 
 @_add("o54_rerank", """SELECT arxiv_id, eq_number, cand_id FROM (SELECT *, row_number() OVER w AS r, lead(embedding_score) OVER w AS nxt FROM (SELECT * FROM (SELECT *, min(tier) OVER (PARTITION BY arxiv_id, eq_number) AS t FROM candidates) WHERE tier = t AND embedding_score IS NOT NULL)
