@@ -19,6 +19,7 @@ def queries():
     return {
         "p1_found": _query(scans.found, "equations"),
         "p1_damage": _query(scans.damage, "equations"),
+        "p1_repaired": _query(scans.repair, "equations"),
         "p2_found": _query(markup.found, "equations", "dataset"),
         "p2_clean": _query(lambda e, d: markup.clean(markup.fields_of(e, d)), "equations", "dataset"),
         "p3_found": _query(glyphs.found, "equations", "dataset"),
@@ -31,6 +32,7 @@ def queries():
         "p7_containers": _query(packing.pack, "documents", "container_specs"),
         "p8_found": _query(leakage.found, "documents", "eval_items"),
         "p9_found": _query(privacy.found, "documents"),
+        "p9_surrogates": _query(lambda d: privacy.surrogate(d, "quillgraph"), "documents"),
         "p9_redacted": _query(privacy.redact, "documents"),
     }
 

@@ -210,15 +210,19 @@ def broken_words(texts: DataFrame) -> DataFrame:
     return soft.unionByName(odd.select("field", "id", "at", "left", "right"))
 
 
+def _prepared(equations: DataFrame) -> DataFrame:
+    texts = _texts(equations)
+    folded = texts.withColumn("text", F.when((F.col("field") == "equation") & F.col("text").rlike(r"[^\x00-\x7f]"), _plain_glyphs("text")).otherwise(F.col("text")))
+    return cut(spread(folded))
+
+
 def damage(equations: DataFrame) -> DataFrame:
     """``(field, id, kind)``: every kind of page-scan damage of every field.
 
     Null and empty fields have none; repeated rows are separate rows; an empty table gives an empty result; other
     columns are ignored.
     """
-    texts = _texts(equations)
-    folded = texts.withColumn("text", F.when((F.col("field") == "equation") & F.col("text").rlike(r"[^\x00-\x7f]"), _plain_glyphs("text")).otherwise(F.col("text")))
-    texts = cut(spread(folded))
+    texts = _prepared(equations)
     marks = [(misread(texts), "glyph"), (misread_characters(texts), "glyph"), (headers(texts), "header"), (broken_words(texts), "hyphen")]
     out = None
     for frame, kind in marks:
@@ -227,6 +231,38 @@ def damage(equations: DataFrame) -> DataFrame:
     return out.distinct()
 
 
+def repair(equations: DataFrame) -> DataFrame:
+    """``(field, id, text, fixes)``: every field repaired into continuous text, and the number of its repairs.
+
+    Headers are taken out line by line, broken words are joined, other hyphens at line ends stay with their word, lines
+    are run together within a paragraph, and misread words get the form chosen for them in the case they stand in.
+    Fields without damage come back as they are, null and empty ones are left out. Ids are taken as unique.
+    """
+    texts = _prepared(equations)
+    gone = headers(texts).groupBy("field", "id").agg(F.collect_set("line").alias("_gone"))
+    halves = broken_words(texts).where("left <> ''").groupBy("field", "id").agg(F.collect_set(F.struct("left", "right")).alias("_halves"))
+    words = misread(texts).groupBy("field", "id").agg(F.collect_set(F.struct("word", "chosen")).alias("_words"))
+    signs = misread_characters(texts).groupBy("field", "id").agg(F.collect_set(F.struct("word", "chosen")).alias("_signs"))
+    joined = texts
+    for part in (gone, halves, words, signs):
+        joined = joined.join(part, ["field", "id"], "left")
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<{kind}>"))
+    joined = joined.select("field", "id", "text", none("_gone", "int").alias("_gone"), none("_halves", "struct<left:string,right:string>").alias("_halves"),
+                           none("_words", "struct<word:string,chosen:string>").alias("_words"), none("_signs", "struct<word:string,chosen:string>").alias("_signs"))
+    lines = F.filter(F.split("text", "\n"), lambda x, n: ~F.array_contains(F.col("_gone"), n))
+    out = joined.withColumn("_t", F.array_join(lines, "\n")).withColumn("_soft", F.regexp_count("_t", F.lit(r"\p{L}[¬­][ \t]*\n")))
+    out = out.withColumn("_t", F.regexp_replace("_t", r"(\p{L})[¬­][ \t]*\n[ \t]*(?=\p{L})", "$1"))
+    out = out.withColumn("_t", F.aggregate("_halves", F.col("_t"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<!\p{L})"), x["left"], F.lit(r"-[ \t]*\n[ \t]*"), x["right"]), F.concat(x["left"], x["right"]))))
+    out = out.withColumn("_t", F.regexp_replace(F.regexp_replace("_t", r"(\p{L})-[ \t]*\n[ \t]*(?=\p{L})", "$1-"), r"(?<!\n)[ \t]*\n[ \t]*(?!\n)", " "))
+    first = lambda w: F.substring(w, 1, 1)
+    cased = lambda x: F.when((first(x["word"]) != F.lower(first(x["word"]))) & ~x["chosen"].startswith("\\"), F.concat(F.upper(first(x["chosen"])), F.substr(x["chosen"], F.lit(2)))).otherwise(x["chosen"])
+    put = lambda c: F.regexp_replace(c, r"([\\$])", r"\\$1")
+    out = out.withColumn("_t", F.aggregate("_words", F.col("_t"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["word"], F.lit(r"\E(?![\p{L}\p{N}])")), put(cased(x)))))
+    out = out.withColumn("_t", F.aggregate("_signs", F.col("_t"), lambda t, x: F.replace(t, x["word"], x["chosen"])))
+    fixes = F.size("_gone") + F.size("_halves") + F.size("_words") + F.size("_signs") + F.col("_soft")
+    return out.select("field", "id", F.when(fixes > 0, F.trim("_t")).otherwise(F.col("text")).alias("text"), fixes.cast("int").alias("fixes"))
+
+
 def found(equations: DataFrame) -> DataFrame:
     """``p1_found``: damaged fields."""
     return damage(equations).select("field", "id").distinct()
