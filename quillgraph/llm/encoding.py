@@ -64,6 +64,11 @@ def _decoder(encoding: str) -> dict[int, str]:
     return out
 
 
+#: Blocks whose characters ordinary text of the usual scripts is made of; a decoded character elsewhere proves nothing.
+_LIKELY = re.compile("[\u0080-\u024f\u02b0-\u02ff\u0370-\u052f\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u2000-\u22ff\u2500-\u25ff\u27e8\u27e9\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7af\uff00-\uff60]")
+_TWO_WIDE = re.compile("[\u3000-\u30ff\u4e00-\u9fff\uac00-\ud7af]{2}")
+
+
 class Tables:
     """Translation tables, built once in a worker."""
 
@@ -198,7 +203,7 @@ class Judge:
                 if _STRANGE in raw:
                     continue
                 after = raw.encode("latin-1").decode(right, "replace")
-                if after.count("�") * 5 > len(after):
+                if after.count("�") * 5 > len(after) or not _TWO_WIDE.search(after):
                     continue
                 a = m.start() + inner.start()
                 b = m.start() + inner.end()
@@ -214,7 +219,12 @@ def plainly_garbled(text: str, tables: Tables) -> bool:
     if "�" in text or _CONTROLS.search(text):
         return True
     chars = {c for c in text if c > "\x7f"}
-    return any(utf8_once(text, tables.bytes[n])[1] for n in _PLAIN if sum(c in tables.cover[n] for c in chars) >= 2)
+    for n in _PLAIN:
+        if sum(c in tables.cover[n] for c in chars) >= 2:
+            found = _UTF8.findall(text.translate(tables.bytes[n]))
+            if found and all(_LIKELY.match(x.encode("latin-1").decode("utf-8")) for x in found):
+                return True
+    return False
 
 
 def character_counts(texts: DataFrame) -> np.ndarray:

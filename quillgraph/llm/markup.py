@@ -37,7 +37,7 @@ _FENCE = re.compile(r"^[ \t]*(```|~~~)[^\n`]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)|\\be
 _MATH_TAG = re.compile(r"<math\b([^>]*)>(.*?)</math>", re.S | re.I)
 _ALT = re.compile(r"alttext\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
-_SPECIAL = re.compile(r"[<>&*_`~#\[\]{}\\]|\$\$|''|^(?:[-+*=|;:]|\d+[.)]) |^-{3,}$|^={3,}$", re.M)
+_SPECIAL = re.compile(r"[<>&*_`~#\[\]{}\\]|\$\$|''|^(?:[-+*=|;:]|\d+[.)]) |^-{3,}$|^[ \t]*={2,}", re.M)
 
 _HELD = re.compile("[\ue000-\ue7ff]")
 _PAGE_LINE = r"(?![ \t]*(?:\d+|[ivxlc]+)[ \t]*[-–—]?[ \t]*$)"
