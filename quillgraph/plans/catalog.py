@@ -78,6 +78,7 @@ _KIND = f"CASE WHEN regexp_full_match({_B}, '\\d+(\\.\\d+)*') THEN 0 ELSE 1 END"
 _SUFFIX = f"CASE WHEN regexp_full_match({_B}, '\\d+(\\.\\d+)*') THEN lower(regexp_extract({_N}, '^\\d+(\\.\\d+)*([A-Za-z])(-[A-Za-z])?$', 2)) ELSE '' END"
 _ORDER = f"{_KIND}, {_NUMS}, {_SUFFIX}, {_N}, row_id"
 _TOP = f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arxiv_id ORDER BY {_ORDER}) AS place FROM {_FIRST}) WHERE place <= 7)"
+_RECORDS = _TOP.replace("row_id", "rec_id").replace("FROM equations", "FROM dataset")
 _SQ = lambda c: f"trim(regexp_replace(coalesce({c}, ''), '[\\s\\x{{a0}}\\x{{1680}}\\x{{2000}}-\\x{{200a}}\\x{{2028}}\\x{{2029}}\\x{{202f}}\\x{{205f}}\\x{{3000}}\\x{{85}}]+', ' ', 'g'))"
 _ANY = lambda c, tokens: "(" + " OR ".join(f"contains({c}, '{t}')" for t in tokens) + ")"
 _NOISY = "(len(regexp_extract_all(coalesce(equation, ''), '[A-Za-z]{5,}')) > 5 AND len(regexp_extract_all(coalesce(equation, ''), '[=+\\-*/∑∫√_^{}()\\[\\]]')) < 3)"
@@ -296,9 +297,9 @@ def _o36(spark, folder):
 @_add("o37_reconcile")
 def _o37(spark, folder):
     shaped = _extracted(spark, folder).select(F.col(DOC).alias("document"), F.col("row_id").cast("int").alias("ord"), F.col(LABEL), L.base_label(F.col(LABEL)).alias("base"), "equation", M.garbled(F.col("equation")).alias("garbled"), "equation_text_source")
-    # the hot document's formulas are taken through the first per label, then the first seven, as each source is
-    ranked = R.top_k(shaped, "document", ["ord"], k=200)
-    return M.match(ranked.where("equation_text_source <> 'html'").drop("equation_text_source", "place"), ranked.where("equation_text_source = 'html'").drop("equation_text_source", "place"))
+    # each source keeps the first seven formulas of a document, as it does when it is read alone
+    pdf, html = (R.top_k(shaped.where(c), "document", ["ord"]).drop("equation_text_source", "place") for c in ("equation_text_source <> 'html'", "equation_text_source = 'html'"))
+    return M.match(pdf, html)
 
 
 @_add("o38_override", f"""SELECT e.row_id, coalesce(nullif(d.equation, ''), e.equation) AS equation FROM equations e LEFT JOIN (SELECT arxiv_id, {_N} AS label, min_by(equation, rec_id) AS equation FROM dataset GROUP BY 1, 2) d
@@ -308,22 +309,22 @@ def _o38(spark, folder):
     return R.override_text(table(spark, folder, "equations").select("row_id", DOC, LABEL, "equation"), other, DOC, LABEL, "equation", []).select("row_id", "equation")
 
 
-@_add("o39_between", f"""SELECT g.arxiv_id, g.after_number, count(*) AS inside FROM (SELECT arxiv_id, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS after_number, n AS before_number FROM (SELECT DISTINCT arxiv_id, CASE WHEN regexp_full_match({_B}, '\\d+') THEN try_cast({_B} AS INTEGER) END AS n FROM equations) WHERE n IS NOT NULL) g
-      JOIN relations r ON r.arxiv_id = g.arxiv_id AND regexp_full_match(r.src, '\\d+') AND try_cast(r.src AS INTEGER) > g.after_number AND try_cast(r.src AS INTEGER) < g.before_number WHERE g.before_number - g.after_number > 1 GROUP BY 1, 2""")
+@_add("o39_between", f"""SELECT g.arxiv_id, g.after_number, count(*) AS crossing FROM (SELECT arxiv_id, coalesce(lag(n) OVER (PARTITION BY arxiv_id ORDER BY n), 0) AS after_number, n AS before_number FROM (SELECT DISTINCT arxiv_id, CASE WHEN regexp_full_match({_B}, '\\d+') THEN try_cast({_B} AS INTEGER) END AS n FROM equations) WHERE n IS NOT NULL) g
+      JOIN relations r ON r.arxiv_id = g.arxiv_id AND regexp_full_match(r.src, '\\d+') AND regexp_full_match(r.dst, '\\d+') AND try_cast(r.src AS INTEGER) <= g.after_number AND try_cast(r.dst AS INTEGER) >= g.before_number WHERE g.before_number - g.after_number > 1 GROUP BY 1, 2""")
 def _o39(spark, folder):
     gaps = R.numbering_gaps(table(spark, folder, "equations"), DOC, LABEL)
-    edges = table(spark, folder, "relations").select(DOC, F.col("src").try_cast("int").alias("s")).where("s is not null").groupBy(DOC, "s").count()
-    joined = gaps.join(edges, DOC).where("s > after_number and s < before_number")
-    return joined.groupBy(DOC, "after_number").agg(F.sum("count").alias("inside"))
+    number = lambda c: F.when(F.col(c).rlike(r"^\d+$"), F.col(c).try_cast("int"))
+    edges = table(spark, folder, "relations").select(DOC, number("src").alias("s"), number("dst").alias("d")).where("s is not null and d is not null").groupBy(DOC, "s", "d").count()
+    joined = gaps.join(edges, DOC).where("s <= after_number and d >= before_number")
+    return joined.groupBy(DOC, "after_number").agg(F.sum("count").alias("crossing"))
 
 
-@_add("o40_missing_edges", """SELECT a.arxiv_id, a.eq_number AS src, b.eq_number AS dst FROM (SELECT DISTINCT arxiv_id, eq_number FROM dataset WHERE arxiv_id IN (SELECT arxiv_id FROM (SELECT DISTINCT arxiv_id, eq_number FROM dataset) GROUP BY arxiv_id HAVING count(*) <= 40)) a
-      JOIN (SELECT DISTINCT arxiv_id, eq_number FROM dataset) b ON a.arxiv_id = b.arxiv_id AND a.eq_number <> b.eq_number WHERE NOT EXISTS (SELECT 1 FROM relations r WHERE r.arxiv_id = a.arxiv_id AND r.src = a.eq_number AND r.dst = b.eq_number)""")
+@_add("o40_missing_edges", f"""SELECT a.arxiv_id, a.eq_number AS src, b.eq_number AS dst FROM {_RECORDS} a JOIN {_RECORDS} b ON a.arxiv_id = b.arxiv_id AND a.eq_number <> b.eq_number
+      WHERE NOT EXISTS (SELECT 1 FROM relations r WHERE r.arxiv_id = a.arxiv_id AND r.src = a.eq_number AND r.dst = b.eq_number)""")
 def _o40(spark, folder):
-    nodes = table(spark, folder, "dataset").select(DOC, LABEL).distinct()
-    # the pairs of a document are its output's size; documents that exceed an output's size have no such pairs
-    small = nodes.groupBy(DOC).count().where("count <= 40").select(DOC)
-    return R.missing_edges(nodes.join(small, DOC, "left_semi"), table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
+    first = R.first_by_label(table(spark, folder, "dataset"), DOC, LABEL, ["rec_id"])
+    nodes = R.top_k(first.withColumn("_key", L.label_key(F.col(LABEL))), DOC, ["_key", "rec_id"])
+    return R.missing_edges(nodes, table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
 
 
 # ---------------------------------------------------------------- aggregates
