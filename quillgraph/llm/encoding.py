@@ -164,6 +164,8 @@ class Judge:
     def _plausible(text: str, a: int, b: int, after: str) -> bool:
         """Restored letters or quotes that belong to a word: blanks and lone symbols of formulas are no evidence."""
         letters = sum(c.isalpha() for c in after)
+        if all(c in "\u00a0\u00ad\u00ac" for c in text[a:b]):  # blanks and hyphens of layout
+            return False
         if letters + sum(c in "¿¡«»“”„‘’–—… " for c in after) < len(after):
             return False
         if not text[a:b].isascii() and "\u0400" <= text[a] <= "\u04ff":
