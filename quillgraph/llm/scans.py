@@ -47,6 +47,16 @@ _PAGE = (
     r"|\d{1,4}\s*/\s*\d{1,4}|\d{1,4}\s*\|\s*P ?a ?g ?e|\d{1,4}\s{2,}\S.{0,60}|\S.{0,80}\s{2,}\d{1,4})\s*$")
 
 
+#: Rows up to which a side of a join is broadcast; a larger side is shuffled.
+_SMALL = 500_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` materialised, and broadcast if it is counted to be small."""
+    done = cut(df)
+    return F.broadcast(done) if done.count() <= _SMALL else done
+
+
 def skeleton(word: Column) -> Column:
     """Strokes of a word: equal for words that differ in confusable glyphs only."""
     out = F.lower(word)
@@ -96,7 +106,7 @@ def misread(texts: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> Dat
     pairs = words.join(mains, ["kind", "skeleton"]).where((F.col("w") != F.col("main")) & (F.col("n") >= ratio * F.col("count")) & (F.col("n") >= 5)
                                                       & (F.lower("w") != F.lower("main")) & ~F.col("w").isin(*_SYMBOLS) & ~F.col("w").rlike(r"^d[A-Za-z]$")).select("kind", "w", "main", "count", "n")
     own = F.when(F.col("kind") == "equation", F.col("word")).otherwise(F.lower("word")).alias("w")
-    doubtful = triples.select("field", "id", "kind", "at", "before", "word", "after", own).join(pairs, ["kind", "w"])
+    doubtful = triples.select("field", "id", "kind", "at", "before", "word", "after", own).join(_small(pairs), ["kind", "w"])
     # in formulas the names are few: the frequency alone decides; in text the neighbours do
     sure = doubtful.where((F.col("kind") == "equation") & (F.col("n") >= 3 * ratio * F.col("count"))).select("field", "id", "at", "word", F.col("main").alias("chosen"))
     asked = cut(doubtful.where("kind = 'text'").withColumn("uid", F.xxhash64("field", "id", "at")))
@@ -104,9 +114,10 @@ def misread(texts: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> Dat
     keys = asked.select("uid", F.explode(F.array(
         pair(True, "before", "main"), pair(True, "main", "after"), pair(False, "before", "w"), pair(False, "w", "after"))).alias("k")
     ).select("uid", "k.*").where(F.col("a").rlike(r"\p{L}") & F.col("b").rlike(r"\p{L}"))  # signs are no context
-    needed = keys.select("a", "b").distinct()
-    bigrams = triples.where("kind = 'text' and after <> ''").select(F.lower("word").alias("a"), F.col("after").alias("b")).groupBy("a", "b").count()
-    counted = keys.join(bigrams.join(needed, ["a", "b"], "left_semi"), ["a", "b"]).groupBy("uid").agg(
+    needed = _small(keys.select("a", "b").distinct())
+    bigrams = triples.where("kind = 'text' and after <> ''").select(F.lower("word").alias("a"), F.col("after").alias("b"))
+    bigrams = bigrams.join(needed, ["a", "b"], "left_semi").groupBy("a", "b").count()
+    counted = keys.join(bigrams, ["a", "b"]).groupBy("uid").agg(
         F.sum(F.when(F.col("is_main"), F.col("count")).otherwise(0)).alias("for_main"), F.sum(F.when(~F.col("is_main"), F.col("count")).otherwise(0)).alias("for_own"))
     chosen = asked.join(counted, "uid").where((F.col("for_main") >= support) & (F.col("for_main") >= 5 * (F.col("for_own") - 2))).select(
         "field", "id", "at", "word", F.col("main").alias("chosen"))
@@ -178,7 +189,7 @@ def headers(texts: DataFrame, least: int = 4) -> DataFrame:
     pairs = tokens.where(F.size("w") > 0).select(F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda k: F.struct(F.get("w", k).alias("a"), F.coalesce(F.get("w", k + 1), F.lit("")).alias("b")))).alias("p"))
     pairs = pairs.select("p.a", "p.b")
     both = pairs.unionByName(pairs.select("a", F.lit("").alias("b")).where(F.length("a") > 2))
-    needed = keys.select("a", "b").distinct()
+    needed = _small(keys.select("a", "b").distinct())
     counts = both.join(needed, ["a", "b"], "left_semi").groupBy("a", "b").count()
     joined = keys.join(counts, ["a", "b"], "left").groupBy("uid").agg(*(F.max(F.when(F.col("what") == w, F.coalesce("count", F.lit(0)))).alias(w) for w in ("in", "out", "join", "half", "half_in")))
     proof = joined.select("uid", (
