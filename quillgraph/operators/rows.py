@@ -6,14 +6,21 @@ Every operator is a DataFrame transform; windows are partitioned by the document
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions import labels as L
 from quillgraph.functions import text as T
+from quillgraph.session import spread
 
 PER_DOCUMENT = 7
 SCAN_CAP = 17
+#: Asked vectors per broadcast; a larger query set is taken in blocks of this many.
+ASKED_BLOCK = 20_000
 
 
 def first_by_label(df: DataFrame, document: str, label: str, order: list) -> DataFrame:
@@ -197,13 +204,79 @@ def rerank_by_embedding(candidates: DataFrame, document: str, label: str, least:
 
 
 def cosine_rank(left: DataFrame, right: DataFrame, k: int = 1) -> DataFrame:
-    """``(a, b, similarity)``: for every row of ``left(a, v, grp)`` the ``k`` most similar rows of ``right`` in its group."""
+    """``(a, b, similarity)``: for every row of ``left(a, v, grp)`` the ``k`` most similar rows of ``right`` in its group.
+
+    For reranking the few candidates of a formula; ``nearest`` searches a whole table.
+    """
     dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, x: acc + x)
     norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     joined = left.join(right, "grp").where("a <> b").withColumn("similarity", F.round(dot / (norm("v") * norm("w")), 6))
     return joined.withColumn("_r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))).where(F.col("_r") <= k).select("a", "b", "similarity")
 
 
+def nearest(asked: DataFrame, rows: DataFrame, k: int = 1, block: int = ASKED_BLOCK) -> DataFrame:
+    """``(a, b, similarity)``: for every row of ``asked(a, v)`` the ``k`` most similar rows of all ``rows(b, w)``.
+
+    Exact cosine, rounded to six places; ties go to the smaller ``b``; a row is no neighbour of its own id. Asked
+    vectors are broadcast in blocks, rows are only scanned, and a task keeps ``k`` rows for an asked vector. Null ids,
+    and vectors that are null, empty, zero or hold null, have no neighbours and are none; vectors of different length
+    are not compared.
+    """
+    spark = rows.sparkSession
+
+    def units(ids, vectors) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Ids and unit vectors by length of the vectors, in order of the ids."""
+        kept: dict[int, list] = {}
+        for i, x in zip(ids, vectors):
+            x = np.asarray(x, np.float64)
+            norm = np.sqrt(x @ x)
+            if 0 < norm < np.inf:
+                kept.setdefault(len(x), []).append((i, x / norm))
+        return {n: (np.array([i for i, _ in group], np.int64), np.array([x for _, x in group])) for n, group in ((n, sorted(g, key=lambda t: t[0])) for n, g in kept.items())}
+
+    scanned = spread(rows.select(F.col("b").cast("long"), F.col("w").cast("array<double>")).where("b is not null and w is not null"))
+    blocks, current = [], []
+    for row in asked.select(F.col("a").cast("long"), F.col("v").cast("array<double>")).where("a is not null and v is not null").toLocalIterator():
+        current.append((row["a"], row["v"]))
+        if len(current) == block:
+            blocks.append(spark.sparkContext.broadcast(current))
+            current = []
+    blocks.append(spark.sparkContext.broadcast(current))
+    out = None
+    for held in blocks:
+
+        def scan(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
+            wanted = units(*zip(*held.value)) if held.value else {}
+            best = {n: (np.full((k, len(a)), -np.inf), np.zeros((k, len(a)), np.int64)) for n, (a, _) in wanted.items()}
+            for batch in batches:
+                for n, (ids, vectors) in units(batch["b"], batch["w"]).items():
+                    if n not in wanted:
+                        continue
+                    a, v = wanted[n]
+                    for at in range(0, len(a), 2000):  # bounds the matrix of similarities
+                        part = slice(at, at + 2000)
+                        likeness = np.round(vectors @ v[part].T, 6)
+                        likeness[ids[:, None] == a[None, part]] = -np.inf
+                        high, who = [best[n][0][:, part]], [best[n][1][:, part]]
+                        for _ in range(min(k, len(ids))):  # ids are in order, so the first maximum has the smallest
+                            first = likeness.argmax(axis=0)
+                            column = np.arange(len(first))
+                            high.append(likeness[first, column][None])
+                            who.append(ids[first][None])
+                            likeness[first, column] = -np.inf
+                        high, who = np.concatenate(high), np.concatenate(who)
+                        order = np.lexsort((who, -high), axis=0)[:k]
+                        best[n][0][:, part], best[n][1][:, part] = np.take_along_axis(high, order, 0), np.take_along_axis(who, order, 0)
+            for n, (a, _) in wanted.items():
+                high, who = best[n]
+                found = high > -np.inf
+                yield pd.DataFrame({"a": np.broadcast_to(a, high.shape)[found], "b": who[found], "similarity": high[found]})
+
+        part = scanned.mapInPandas(scan, "a long, b long, similarity double")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("_r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))).where(F.col("_r") <= k).drop("_r")
+
+
 def rank_sentences(df: DataFrame, keys: list[str], before: str, after: str, limit: int = 5) -> DataFrame:
     """The ``limit`` sentences around a formula that most likely name it: rank, then nearness, then the side before."""
     side = lambda c, name, nearest_last: F.transform(

@@ -429,8 +429,8 @@ def _o54(spark, folder):
 @_add("o54_similar_vectors")
 def _o54v(spark, folder):
     rows = table(spark, folder, "embeddings")
-    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("v"), F.col("label").alias("grp"))
-    return R.cosine_rank(asked, rows.select(F.col("vec_id").alias("b"), F.col("embedding").alias("w"), F.col("label").alias("grp")), k=3)
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("v"))
+    return R.nearest(asked, rows.select(F.col("vec_id").alias("b"), F.col("embedding").alias("w")), k=3)
 
 
 @_add("o55_inherit", """SELECT s.rec_id, s.symbol, coalesce(nullif(trim(s.definition), ''), f.own, '') AS definition FROM (SELECT rec_id, arxiv_id, k AS symbol, symbols[k] AS definition FROM (SELECT rec_id, arxiv_id, symbols, unnest(map_keys(symbols)) AS k FROM dataset)) s LEFT JOIN

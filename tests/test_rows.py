@@ -1,5 +1,6 @@
 """Row operators on small fixtures, with nulls, ties, repeats and empty tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from quillgraph.functions import symbols as S
@@ -79,3 +80,30 @@ def test_violations(spark):
     ok, bad = {"2": ("none", "x")}, {"1": ("odd", "x"), "2": ("none", "x"), "9": ("none", "x")}
     df = spark.createDataFrame([(1, "a", "1", "e", ok), (2, "a", "2", " ", bad)], schema)
     assert sorted(tuple(r) for r in P.violations(df).collect()) == [(2, "empty equation"), (2, "relation to an unknown label"), (2, "relation to itself"), (2, "unknown grade")]
+
+
+def test_nearest_searches_all_rows(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-3, 4, (60, 4)).astype(float)
+    vectors[7] = vectors[3]  # a tie
+    rows = [(n, v.tolist(), n % 3) for n, v in enumerate(vectors)]
+    schema = "b long, w array<float>, grp int"
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
+    want = set()
+    for a in range(0, 60, 5):
+        if vectors[a].any():
+            ranked = sorted((-round(float(unit[a] @ unit[b]), 6), b) for b in range(60) if b != a and vectors[b].any())
+            want |= {(a, b, -s) for s, b in ranked[:3]}
+    table = spark.createDataFrame([*rows, (90, None, 0), (None, [1.0] * 4, 0), (91, [0.0] * 4, 0), (92, [1.0], 0)], schema).repartition(3)
+    asked = table.where("b % 5 = 0").select(F.col("b").alias("a"), F.col("w").alias("v"))
+    got = R.nearest(asked, table.select("b", "w"), k=3, block=5).collect()
+    assert {(r.a, r.b, abs(r.similarity) if r.similarity == 0 else r.similarity) for r in got} == {(a, b, abs(s) if s == 0 else s) for a, b, s in want}
+    assert R.nearest(asked.limit(0), table.select("b", "w")).count() == R.nearest(asked, table.select("b", "w").limit(0)).count() == 0
+
+
+def test_similar_vectors_cross_labels(spark, tmp_path):
+    from quillgraph.plans import catalog
+
+    rows = [(20, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.1], 2), (3, [1.0, 0.2], 3), (4, [1.0, 0.3], 4)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert sorted((r.a, r.b) for r in catalog.queries()["o54_similar_vectors"](spark, str(tmp_path)).collect()) == [(20, 2), (20, 3), (20, 4)]
