@@ -159,11 +159,14 @@ def _names(text: str, ordinary, fixed, taken) -> Iterator[tuple[int, int]]:
         pieces = [(a, b) for a, b in pieces if all(b <= x or a >= y for x, y, _ in taken)]
         # leave out ordinary words, titles and labels at either end
         is_name = []
-        for a, b in pieces:
+        for n, (a, b) in enumerate(pieces):
             w = text[a:b]
             initial = len(w) == 2 and w[1] == "."
             particle = w.islower() or w in ("van", "von", "de")
-            is_name.append("i" if initial else "p" if particle else "x" if any(known(x) for x in _word_parts(w)) or len(w) < 3 else "n")
+            dated = w.lower() in _AMBIGUOUS and bool(_NUMBER_BEFORE.search(text[max(0, a - 12) : a]) or _NUMBER_AFTER.match(text, b))
+            # "Satz" in "Satz von Lindau": a capitalised noun that makes a label of the name after the particle
+            label = n + 1 < len(pieces) and text[slice(*pieces[n + 1])].islower() and bool(_LABEL_BEFORE.search(w + " "))
+            is_name.append("i" if initial else "p" if particle else "x" if dated or label or any(known(x) for x in _word_parts(w)) or len(w) < 3 else "n")
         at = 0
         while at < len(pieces):
             if is_name[at] not in "in":
@@ -195,11 +198,14 @@ def _names(text: str, ordinary, fixed, taken) -> Iterator[tuple[int, int]]:
 
 
 # Capitalised words that are no part of a name.
-_FIXED = """monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october
+_FIXED = """monday tuesday wednesday thursday friday saturday sunday january february march july september october
 november december eq eqs ref refs fig figs sec sect tab thm app vol vgl abb kap abschn gl nr dr prof mr mrs ms mme sr sra herr frau el la le les der die das the an
-am im answer grant project institute university department room block passport badge payroll reviewer signed contact dear hello regards best wishes
-flat lane road street way avenue calle rue annals tel kontakt anschrift dirección adresse adressé correo contacto courriel почта паспорт isbn doi voir siehe
-szelby ilvane brandoc osmerine varnholt yorvane quessel marchetour tebrikov""".split()
+am im answer project institute university department room block passport badge payroll reviewer signed contact dear hello regards best wishes
+flat road street way avenue calle annals tel kontakt anschrift dirección adresse adressé correo contacto courriel почта паспорт isbn doi voir siehe""".split()
+#: Words that are names of persons too: left out only where a number or a date stands beside them.
+_AMBIGUOUS = frozenset("april may june august grant lane rue".split())
+_NUMBER_BEFORE = re.compile(r"\d(?:st|nd|rd|th|\.)?(?: of)?[\s,]+$")
+_NUMBER_AFTER = re.compile(r"[\s,]*(?:(?:[Nn]o|[Nn]r)\b\.?|[Nn]umber\b|#|№|\d)")
 
 
 def entities(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:

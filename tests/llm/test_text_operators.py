@@ -278,6 +278,14 @@ def test_privacy(spark):
     assert privacy.found(docs.limit(0)).count() == 0
 
 
+def test_names_by_context(spark):
+    none, fixed = (lambda w: w in ("We", "The", "In", "Im", "On", "Paid", "by", "Signed")), frozenset(privacy._FIXED)
+    names = lambda text: [text[a:b] for a, b, kind in privacy._spans(text, none, fixed) if kind == "name"]
+    people = ["April Kulwald", "June Szelby", "Fenra Grant", "Oda Lane", "Fenra A. Ilvane", "Oda Varnholt", "Satz Kulwald"]
+    assert [names(f"We thank {p} for help.") for p in people] == [[p] for p in people]
+    assert [names(t) for t in ("Im Satz von Kulwald steht es.", "The Kulwald theorem holds.", "for the Kulwald–Ilvane bound.", "Der Kulwald-Operator wirkt.", "Paid by Grant No. 2291", "On 4 May Tuesday", "On May 4")] == [[]] * 7
+
+
 def test_surrogates_are_distinct(spark):
     rows = [("name", f"Ana Xo{a}{b}") for a in "bcdfg" for b in "klmnp"] + [("phone", f"0{n}0 7946 0{n}00") for n in range(1, 9)]
     got = privacy.surrogates(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
