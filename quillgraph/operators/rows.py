@@ -137,6 +137,23 @@ def missing_edges(nodes: DataFrame, edges: DataFrame, document: str, label: str,
     return pairs.join(edges.select(document, source, target).distinct(), [document, source, target], "left_anti")
 
 
+def missing_counts(nodes: DataFrame, edges: DataFrame, document: str, label: str, source: str, target: str) -> DataFrame:
+    """``(document, label, missing_out, missing_in)``: how many pairs of ``missing_edges`` begin and end at each label.
+
+    Counted from the edges that are there, so documents of any number of labels are counted whole without their pairs.
+    """
+    labels = nodes.select(document, label).dropna().distinct()
+    known = edges.select(document, source, target).where(F.col(source) != F.col(target)).distinct()
+    for end in (source, target):
+        known = known.join(labels.withColumnRenamed(label, end), [document, end], "left_semi")
+    ends = known.select(document, F.explode(F.array(
+        F.struct(F.col(source).alias(label), F.lit(1).alias("o"), F.lit(0).alias("i")), F.struct(F.col(target).alias(label), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("x"))
+    present = ends.select(document, f"x.{label}", "x.o", "x.i").groupBy(document, label).agg(F.sum("o").alias("o"), F.sum("i").alias("i"))
+    sized = labels.join(labels.groupBy(document).agg(F.count("*").alias("_n")), document).join(present, [document, label], "left")
+    missing = lambda c: F.col("_n") - 1 - F.coalesce(F.col(c), F.lit(0))
+    return sized.select(document, label, missing("o").alias("missing_out"), missing("i").alias("missing_in"))
+
+
 def unordered_pairs(df: DataFrame, document: str, order: str) -> DataFrame:
     """Every pair of a document's rows once, the earlier as ``l``, the later as ``r``. Take the first ``k`` rows before."""
     left = df.select(document, F.col(order).alias("_lo"), F.struct(*df.columns).alias("l"))

@@ -37,6 +37,12 @@ def _top(spark: SparkSession, folder: str) -> DataFrame:
     return R.top_k(_extracted(spark, folder).withColumn("_key", L.label_key(F.col(LABEL))), DOC, ["_key", "row_id"]).drop("_key")
 
 
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """All formulas of every document with their place in natural label order."""
+    keyed = _extracted(spark, folder).withColumn("_key", L.label_key(F.col(LABEL)))
+    return keyed.withColumn("place", F.row_number().over(Window.partitionBy(DOC).orderBy("_key", "row_id"))).drop("_key")
+
+
 def _graph(spark: SparkSession, folder: str) -> DataFrame:
     top = _top(spark, folder).select(DOC, LABEL, "place", "equation", "text_before", "text_after", "section")
     first = F.coalesce(F.get(S.symbol_keys(F.trim(F.substring_index(F.coalesce("equation", F.lit("")), "=", 1))), F.lit(0)), F.lit(""))
@@ -52,13 +58,12 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return _graph(tune(spark), folder)
 
 
-def _pages(spark: SparkSession, folder: str) -> DataFrame:
+def _pages(rows: DataFrame) -> DataFrame:
     """A page of every document's formulas as a converter would write it."""
     esc = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
     row = F.concat(
         F.lit("<section><h2>"), esc(F.coalesce("section", F.lit("Unknown Section"))), F.lit('</h2><p>'), esc(F.col("text_before")), F.lit('</p><table class="ltx_equation" id="S'), F.col("row_id").cast("string"),
         F.lit('"><tr><td><math alttext="'), esc(F.col("equation")), F.lit('"><mi>x</mi></math></td><td class="ltx_eqn_eqno"><span class="ltx_tag_equation">('), F.col(LABEL), F.lit(")</span></td></tr></table><p>"), esc(F.col("text_after")), F.lit("</p></section>"))
-    rows = _top(spark, folder)
     return rows.groupBy(F.col(DOC).alias("document")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", row.alias("h")))), lambda x: x["h"]), "\n").alias("html"))
 
 
@@ -125,15 +130,21 @@ def _o02(spark, folder):
       regexp_replace(trim(regexp_replace(replace(equation, '%', ' '), '[\\s]+', ' ', 'g')), ' ?= ?', '=', 'g') AS equation FROM {_TOP} WHERE regexp_full_match(equation, '[ -~]*'))
       WHERE length(equation) >= 8 AND {_ANY('equation', T.MATH_TOKENS)}""")
 def _o05(spark, folder):
-    parsed = D.parse_html(spread(_pages(spark, folder)), k=1_000_000)
+    # the twin has no filters of the operator after the first seven formulas; o05_html_pages reads whole pages
+    parsed = D.parse_html(spread(_pages(_top(spark, folder))), k=1_000_000)
     ascii_only = _top(spark, folder).where(F.col("equation").rlike("^[ -~]*$")).select(F.col(DOC).alias("document"), L.normalize_label(F.col(LABEL)).alias(LABEL))
     return parsed.select("document", LABEL, "equation").join(ascii_only, ["document", LABEL], "left_semi")
 
 
+@_add("o05_html_pages")
+def _o05p(spark, folder):
+    return D.parse_html(spread(_pages(_extracted(spark, folder)))).select("document", LABEL, "equation", "section", "place")
+
+
 @_add("o08_layout")
 def _o08(spark, folder):
     text = F.concat_ws("\n", F.coalesce("text_before", F.lit("")), F.concat("equation", F.lit("  ("), F.col(LABEL), F.lit(")")), F.coalesce("text_after", F.lit("")))
-    pages = _top(spark, folder).groupBy(F.col(DOC).alias("document")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", text.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
+    pages = _extracted(spark, folder).groupBy(F.col(DOC).alias("document")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_id", text.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
     return D.layout_formulas(pages)
 
 
@@ -144,10 +155,12 @@ def _o09(spark, folder):
 
 @_add("o06_geometry")
 def _o06(spark, folder):
-    top = _top(spark, folder).where(F.col("equation").isNotNull())
-    words = top.select(DOC, LABEL, "place", F.posexplode(F.split("equation", " ")).alias("n", "text"))
-    tokens = words.select(F.col(DOC).alias("document"), F.lit(1).alias("page"), F.lit(600.0).alias("width"), (40.0 + F.col("n") * 6).alias("x0"), (45.0 + F.col("n") * 6).alias("x1"), (F.col("place") * 100.0).alias("cy"), "text")
-    markers = top.select(F.col(DOC).alias("document"), F.lit(1), F.lit(600.0), F.lit(560.0), F.lit(590.0), F.col("place") * 100.0, F.concat(F.lit("("), L.normalize_label(F.col(LABEL)), F.lit(")")))
+    placed = _placed(spark, folder).where(F.col("equation").isNotNull())
+    # a page has room for seven formulas, so the range join of a page is bounded however long its document is
+    placed = placed.withColumn("page", F.floor((F.col("place") - 1) / 7).cast("int") + 1).withColumn("cy", ((F.col("place") - 1) % 7 + 1) * 100.0)
+    words = placed.select(DOC, "page", "cy", F.posexplode(F.split("equation", " ")).alias("n", "text"))
+    tokens = words.select(F.col(DOC).alias("document"), "page", F.lit(600.0).alias("width"), (40.0 + F.col("n") * 6).alias("x0"), (45.0 + F.col("n") * 6).alias("x1"), "cy", "text")
+    markers = placed.select(F.col(DOC).alias("document"), "page", F.lit(600.0), F.lit(560.0), F.lit(590.0), "cy", F.concat(F.lit("("), L.normalize_label(F.col(LABEL)), F.lit(")")))
     return D.geometry_formulas(tokens.union(markers))
 
 
@@ -327,6 +340,12 @@ def _o40(spark, folder):
     return R.missing_edges(nodes, table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
 
 
+@_add("o40_missing_counts")
+def _o40c(spark, folder):
+    first = R.first_by_label(table(spark, folder, "dataset"), DOC, LABEL, ["rec_id"])
+    return R.missing_counts(first, table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
+
+
 # ---------------------------------------------------------------- aggregates
 
 

@@ -142,12 +142,12 @@ def parse_html(pages: DataFrame, k: int = R.PER_DOCUMENT) -> DataFrame:
         for batch in batches:
             out = []
             for document, html in zip(batch["document"], batch["html"]):
-                section, prose, groups, table = "Unknown Section", [], [], None
+                section, prose, groups, table = "Unknown Section", "", [], None
                 for e in html_events(html):
                     if e["kind"] == "heading":
                         section = e["text"]
                     elif e["kind"] == "text":
-                        prose.append(e["text"])
+                        prose = f"{prose} {e['text']}"[-2000:] if prose else e["text"][-2000:]
                         if groups and len(groups[-1]["after"]) < 2000:
                             groups[-1]["after"] += (" " if groups[-1]["after"] else "") + e["text"]
                         table = None
@@ -158,7 +158,7 @@ def parse_html(pages: DataFrame, k: int = R.PER_DOCUMENT) -> DataFrame:
                             groups[-1]["names"] += e["names"]
                             groups[-1]["label"] = groups[-1]["label"] or e["label"]
                         else:
-                            groups.append({"label": e["label"], "pieces": list(e["math"]), "names": list(e["names"]), "before": " ".join(prose)[-2000:], "after": "", "section": section, "table": e["table"]})
+                            groups.append({"label": e["label"], "pieces": list(e["math"]), "names": list(e["names"]), "before": prose, "after": "", "section": section, "table": e["table"]})
                         table = e["table"] or None
                 out += [(document, n, g["label"], " ".join(g["pieces"]), g["names"], g["before"], g["after"][:2000], g["section"], g["table"]) for n, g in enumerate(groups)]
             yield pd.DataFrame(out, columns=columns)

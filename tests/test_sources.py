@@ -69,3 +69,21 @@ def test_stream(spark, tmp_path):
     query = stream.writeStream.format("memory").queryName("first").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination(60)
     assert spark.table("first").count() == 2
+
+
+def test_queries_read_whole_documents(spark, tmp_path):
+    from quillgraph.plans import catalog
+
+    rows = [(n, "a", str(n), "plain words" if n <= 4 else f"x_{n} = y_{n} + z_{n} - 1", "", "", "One") for n in range(1, 18)]
+    spark.createDataFrame(rows, "row_id long, arxiv_id string, eq_number string, equation string, text_before string, text_after string, section string").write.parquet(f"{tmp_path}/equations.parquet")
+    records = [(n, "a", str(n)) for n in range(1, 11)] + [(11, "b", "1")]
+    spark.createDataFrame(records, "rec_id long, arxiv_id string, eq_number string").write.parquet(f"{tmp_path}/dataset.parquet")
+    spark.createDataFrame([("a", "1", "9"), ("a", "1", "9"), ("a", "9", "1"), ("a", "9", "10"), ("a", "2", "2"), ("a", "3", "99")], "arxiv_id string, src string, dst string").write.parquet(f"{tmp_path}/relations.parquet")
+    run = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
+    assert sorted(int(r.eq_number) for r in run("o05_html_pages")) == list(range(5, 12))
+    assert sorted(int(r.eq_number) for r in run("o08_layout")) == list(range(5, 12))
+    assert {int(r.eq_number) for r in run("o06_geometry")} >= set(range(5, 18))
+    edges, counts = {("1", "9"), ("9", "1"), ("9", "10")}, {(r.arxiv_id, r.eq_number): (r.missing_out, r.missing_in) for r in run("o40_missing_counts")}
+    names = [str(n) for n in range(1, 11)]
+    missing = [(a, b) for a in names for b in names if a != b and (a, b) not in edges]
+    assert counts == {("b", "1"): (0, 0)} | {("a", x): (sum(a == x for a, _ in missing), sum(b == x for _, b in missing)) for x in names}
