@@ -128,16 +128,17 @@ def misread_characters(texts: DataFrame, ratio: int = 8, contexts: int = 2) -> D
     """``(field, id, at, word, chosen)`` for scripts without spaces: characters unlike what their neighbours call for.
 
     The neighbours are the two characters before and after. A pair of characters counts as confusable only if it shows
-    in several neighbourhoods.
+    in several neighbourhoods. It is learned from characters with two neighbours on both sides and applied to all.
     """
     letters = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}"
     flat = F.regexp_replace(F.regexp_replace("text", r"\$[^$\n]*\$", "§"), r"\s+", "")
     runs = texts.where(F.col("field") != "equation").where(F.col("text").rlike(f"[{letters}]")).select("field", "id", flat.alias("t"))
-    windows = runs.select("field", "id", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - 4, F.lit(1))), lambda k: F.struct(
-        k.alias("at"), F.substring("t", k, F.lit(5)).alias("s")))).alias("x")).select("field", "id", "x.at", "x.s").where(F.length("s") == 5)
+    # two blanks on either side, so that the first and last characters of a field have windows too
+    windows = runs.where("t <> ''").select("field", "id", F.concat(F.lit("  "), "t", F.lit("  ")).alias("p"), F.explode(F.sequence(F.lit(1), F.length("t"))).alias("k")).select(
+        "field", "id", (F.col("k") - 2).alias("at"), F.expr("substring(p, k, 5)").alias("s"))
     split = windows.select("field", "id", "at", F.concat(F.substring("s", 1, 2), F.lit("?"), F.substring("s", 4, 2)).alias("around"), F.substring("s", 3, 1).alias("c")).where(
         F.col("c").rlike(r"\p{IsHan}") & F.col("around").rlike(f"[{letters}].?\\?|\\?.?[{letters}]"))
-    counts = split.groupBy("around", "c").count()
+    counts = split.where(~F.col("around").contains(" ")).groupBy("around", "c").count()  # learned from full windows only
     mains = counts.groupBy("around").agg(F.max_by("c", F.struct("count", "c")).alias("main"), F.max("count").alias("n")).where(F.col("n") >= 5)
     odd = counts.join(mains, "around").where((F.col("c") != F.col("main")) & (F.col("n") >= ratio * F.col("count"))).select("around", "c", "main", "count")
     # a confusable pair is learned where the character stands mostly for the other; all its uses are then misread

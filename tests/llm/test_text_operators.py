@@ -258,6 +258,13 @@ def test_page_scans(spark):
     assert scans.found(e.limit(0)).count() == 0
 
 
+def test_learned_characters_at_the_edges(spark):
+    rows = [(n, t) for n in range(12) for t in ("次式を得るから", "結果を得るのだ")] + [(50, "次式を待るから"), (51, "結果を待るのだ"), (52, "次式を待る"), (53, "待る"), (54, "式待")]
+    texts = spark.createDataFrame([("text_before", n, t) for n, t in rows], "field string, id long, text string")
+    got = {(r.id, r.at, r.word, r.chosen) for r in scans.misread_characters(texts).collect()}
+    assert got == {(50, 2, "待", "得"), (51, 2, "待", "得"), (52, 2, "待", "得"), (53, -1, "待", "得"), (54, 0, "待", "得")}
+
+
 # ---------------------------------------------------------------- personal information
 
 
