@@ -30,6 +30,7 @@ def queries():
         "p5_restored": _query(lambda e: encoding.diagnose(encoding.fields_of(e)), "equations"),
         "p6_found": _query(sentences.found, "equations", "sentence_tasks"),
         "p7_containers": _query(packing.pack, "documents", "container_specs"),
+        "p7_check": _query(packing.check, "documents", "container_specs"),
         "p8_found": _query(leakage.found, "documents", "eval_items"),
         "p9_found": _query(privacy.found, "documents"),
         "p9_surrogates": _query(lambda d: privacy.surrogate(d, "quillgraph"), "documents"),
@@ -37,5 +38,12 @@ def queries():
     }
 
 
+_SIZES = "(SELECT coalesce(n_tokens, strlen(coalesce(text, '')) + 1) AS n FROM documents WHERE doc_id IS NOT NULL)"
+
+
 def oracle_sql():
-    return {}
+    """SQL twins, by query."""
+    return {
+        "p7_check": f"""SELECT spec_id, count(*) AS documents, CAST(sum(greatest(ceil(n / capacity), 1)) AS BIGINT) AS pieces, CAST(sum(n) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS torn, CAST(0 AS BIGINT) AS overfull, true AS close
+            FROM {_SIZES}, (SELECT DISTINCT spec_id, capacity FROM container_specs WHERE spec_id IS NOT NULL AND capacity > 0) GROUP BY spec_id""",
+    }

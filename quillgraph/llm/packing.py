@@ -1,7 +1,8 @@
 """Filling fixed-capacity containers with documents: linear grouping over the histogram of sizes.
 
-Only the histogram of sizes reaches the driver. It has at most ``capacity`` entries per kind of container, whatever
-the number of documents; every step of the plan works on runs of equal containers, never on single documents.
+The plan of a kind of container is made in one task from the histogram of sizes. It has at most ``capacity`` entries,
+whatever the number of documents; every step of the plan works on runs of equal containers, never on single documents.
+Nothing reaches the driver.
 
 1. A document larger than the capacity is cut into full pieces and one rest; no other document is cut.
 2. Large sizes (over ``capacity * small``) are put into ``groups`` groups of equal cardinality and rounded up to the
@@ -20,6 +21,7 @@ import bisect
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -71,27 +73,28 @@ def _knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[flo
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 400) -> list[tuple[np.ndarray, int]]:
     """Ways to fill a container with their whole numbers of uses, covering no more than ``demand``.
 
-    Column generation with a revised simplex; the fractional optimum is rounded down.
+    Column generation with a revised simplex; the fractional optimum is rounded down. The first basis is diagonal and
+    every exchange updates its inverse by one rank, elementwise: no matrix is ever factorised.
     """
     n = len(sizes)
-    columns = [np.eye(n)[k] * min(capacity // sizes[k], max(demand[k], 1)) for k in range(n)]
-    basis = np.array(columns).T
-    inverse = np.linalg.inv(basis)
+    each = np.array([max(1.0, min(capacity // sizes[k], demand[k])) for k in range(n)])
+    basis, inverse, x = np.diag(each), np.diag(1 / each), demand / each
     for _ in range(rounds):
-        x = inverse @ demand
-        duals = np.ones(n) @ inverse
-        value, column = _knapsack(sizes, duals, capacity)
+        value, column = _knapsack(sizes, inverse.sum(axis=0), capacity)
         if value <= 1 + 1e-7:
             break
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)
         ratio = np.where(direction > 1e-9, x / np.where(direction > 1e-9, direction, 1), np.inf)
         leave = int(np.argmin(ratio))
         if not np.isfinite(ratio[leave]):
             break
         basis[:, leave] = column
-        inverse = np.linalg.inv(basis)
-    x = np.maximum(inverse @ demand, 0)
-    return [(basis[:, k].astype(int), int(np.floor(x[k] + 1e-9))) for k in range(n) if x[k] >= 1]
+        row, step = inverse[leave] / direction[leave], x[leave] / direction[leave]
+        inverse -= np.multiply.outer(direction, row)
+        x = x - direction * step
+        inverse[leave], x[leave] = row, step
+    whole = np.floor(np.maximum(x, 0) + 1e-9).astype(int)
+    return [(basis[:, k].astype(int), int(whole[k])) for k in range(n) if whole[k] >= 1]
 
 
 # ---------------------------------------------------------------- the plan
@@ -213,9 +216,8 @@ def pack(documents: DataFrame, specs: DataFrame, groups: int = GROUPS, small: fl
     text without ``n_tokens`` is one end token. Empty tables give an empty result. Other columns are ignored.
 
     Ranks are taken per (spec, size, salt) and shifted by counts, so that a size shared by a third of all documents
-    is spread over ``64`` partitions.
+    is spread over ``64`` partitions; runs are cut at the same borders, so a piece meets those of its own salt only.
     """
-    spark = documents.sparkSession
     kinds = specs.select("spec_id", "capacity").where("spec_id is not null and capacity > 0").distinct()
     sized = documents.where("doc_id is not null").select("doc_id", document_size().alias("n"))
     # containers' kinds are a stated small table: each document is repeated once per kind
@@ -226,22 +228,41 @@ def pack(documents: DataFrame, specs: DataFrame, groups: int = GROUPS, small: fl
     pieces = cut(pieces.select(
         "spec_id", "doc_id", "piece", (F.col("piece") * F.col("capacity")).alias("start_token"), "size",
         (F.pmod(F.xxhash64("doc_id", "piece"), F.lit(_SALTS))).cast("int").alias("salt")))
-    counts = pieces.groupBy("spec_id", "size", "salt").agg(F.count("*").alias("n"))
-    histogram: dict[int, dict[int, int]] = defaultdict(dict)
-    for row in counts.groupBy("spec_id", "size").agg(F.sum("n").alias("n")).collect():  # at most capacity rows per kind
-        histogram[row["spec_id"]][row["size"]] = row["n"]
-    capacity = {row["spec_id"]: row["capacity"] for row in kinds.collect()}
-    rows = [(spec, *run) for spec, sizes in histogram.items() for run in plan(sizes, capacity[spec], groups, small)[0]]
-    runs = spark.createDataFrame(rows, _PLAN)
+    counts = cut(pieces.groupBy("spec_id", "size", "salt").agg(F.count("*").alias("n")))
+    histogram = counts.groupBy("spec_id", "size").agg(F.sum("n").alias("n")).join(F.broadcast(kinds), "spec_id")
+
+    def planned(sizes: pd.DataFrame) -> pd.DataFrame:
+        rows = plan(dict(zip(sizes["size"].tolist(), sizes["n"].tolist())), int(sizes["capacity"].iloc[0]), groups, small)[0]
+        return pd.DataFrame([(sizes["spec_id"].iloc[0], *r) for r in rows], columns=_PLAN.fieldNames())
+
+    # at most ``capacity`` rows a kind of container meet in a task
+    runs = cut(histogram.groupBy("spec_id").applyInPandas(planned, _PLAN))
 
     before = Window.partitionBy("spec_id", "size").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select("spec_id", "size", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    shift = counts.select("spec_id", "size", "salt", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    # the stretch of every run that falls to a salt: a piece meets the runs of its own salt only
+    cells = shift.join(runs, ["spec_id", "size"]).where("first_rank < shift + n and last_rank >= shift").select(
+        "spec_id", "size", "salt", "shift", "first_rank", "last_rank", "first_container", "per_container")
     order = Window.partitionBy("spec_id", "size", "salt").orderBy("doc_id", "piece")
-    ranked = (
-        pieces.withColumn("rank", F.row_number().over(order) - 1)
-        .join(shift, ["spec_id", "size", "salt"]).withColumn("rank", F.col("rank") + F.col("shift"))
-    )
-    placed = ranked.join(runs, ["spec_id", "size"]).where("rank between first_rank and last_rank")
+    ranked = pieces.withColumn("_rank", F.row_number().over(order) - 1)
+    placed = ranked.join(cells, ["spec_id", "size", "salt"]).withColumn("rank", F.col("_rank") + F.col("shift")).where("rank between first_rank and last_rank")
     return placed.select(
         "spec_id", "doc_id", "piece", "start_token", "size",
         (F.col("first_container") + F.floor((F.col("rank") - F.col("first_rank")) / F.col("per_container"))).alias("container"))
+
+
+def check(documents: DataFrame, specs: DataFrame, slack: float = 0.02) -> DataFrame:
+    """What a packing must keep to, per kind of container.
+
+    ``(spec_id, documents, pieces, tokens, torn, overfull, close)``: rows of documents packed, pieces, their tokens,
+    documents cut although they fit, containers over their capacity, and whether the containers are at most
+    ``slack`` (and one) more than the tokens need.
+    """
+    packed = cut(pack(documents, specs)).join(F.broadcast(specs.select("spec_id", "capacity").dropna().distinct()), "spec_id")
+    fill = packed.groupBy("spec_id", "container", "capacity").agg(F.sum("size").alias("filled"))
+    full = fill.groupBy("spec_id", "capacity").agg(F.count("*").alias("n"), F.sum("filled").alias("tokens"), F.sum((F.col("filled") > F.col("capacity")).cast("long")).alias("overfull"))
+    docs = packed.groupBy("spec_id").agg(
+        F.sum((F.col("piece") == 0).cast("long")).alias("documents"), F.count("*").alias("pieces"),
+        F.sum(((F.col("piece") == 1) & (F.col("start_token") != F.col("capacity"))).cast("long")).alias("torn"))
+    need = F.ceil(F.col("tokens") / F.col("capacity"))
+    return docs.join(full, "spec_id").select("spec_id", "documents", "pieces", "tokens", "torn", "overfull", (F.col("n") <= F.floor(need * (1 + slack)) + 1).alias("close"))
