@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,13 +31,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost no recomputation.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests on
-    one machine) is a temporary folder used.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a session whose executors are threads of
+    this machine's driver may do without: it gets a temporary folder, taken away when Python ends.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quillgraph-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if named is None:
+            if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
+                raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="quillgraph-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        context.setCheckpointDir(named)
     return df.checkpoint(eager=True)
 
 
