@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -280,23 +281,64 @@ def test_privacy(spark):
     out = {r.doc_id: r for r in privacy.redact(docs).collect()}
     assert out[1].text.startswith("We thank [NAME] for help. Contact [EMAIL] or [PHONE]. Her home is [ADDRESS]. Passport [ID_NUMBER] was lost.") and out[30].text is None and out[31].text == "" and out[2].text == filler[0][1]
     new = {r.doc_id: r.text for r in privacy.surrogate(docs, "key").collect()}[1]
-    assert "Kulwald for" not in new and "ZX1234567" not in new and "Kulwald theorem" in new and "+44 20 7" in new
+    assert "Kulwald for" not in new and "ZX1234567" not in new and "Kulwald theorem" in new and "7946" not in new
     assert new.split("We thank ")[1].split(" for help")[0] == new.split("We thank ")[2].split(" again")[0]
     assert privacy.found(docs.limit(0)).count() == 0
 
 
 def test_names_by_context(spark):
-    none, fixed = (lambda w: w in ("We", "The", "In", "Im", "On", "Paid", "by", "Signed")), frozenset(privacy._FIXED)
-    names = lambda text: [text[a:b] for a, b, kind in privacy._spans(text, none, fixed) if kind == "name"]
+    none = lambda w: w in ("We", "The", "In", "Im", "On", "Paid", "by", "Signed", "après")
+    names = lambda text: [text[a:b] for a, b, kind in privacy._spans(text, none) if kind == "name"]
     people = ["April Kulwald", "June Szelby", "Fenra Grant", "Oda Lane", "Fenra A. Ilvane", "Oda Varnholt", "Satz Kulwald"]
     assert [names(f"We thank {p} for help.") for p in people] == [[p] for p in people]
     assert [names(t) for t in ("Im Satz von Kulwald steht es.", "The Kulwald theorem holds.", "for the Kulwald–Ilvane bound.", "Der Kulwald-Operator wirkt.", "Paid by Grant No. 2291", "On 4 May Tuesday", "On May 4")] == [[]] * 7
 
 
+    assert names("D'après Kulwald, Fenra, il est. Fenra Kulwald Tel.: 5") == ["Kulwald, Fenra", "Fenra Kulwald"]
+
+
+def test_labels_are_learned(spark):
+    rows = [(n, "We use the Zorvane theorem and the bound of the Zorvane operator for it.", None) for n in range(9)] + [(20, "We use it by Zorvane Zorvane, and by Fenra Zorvane.", None)]
+    got = privacy.entities(spark.createDataFrame(rows, DOCUMENTS)).collect()
+    assert [(r.doc_id, r.value) for r in got] == [(20, "Fenra Zorvane")]
+
+
+def test_word_filter(spark):
+    words = [f"wört{n}" for n in range(3000)]
+    got = privacy.WordFilter.made(spark.createDataFrame([(w,) for w in words], "w string"))
+    assert all(w in got for w in words) and sum(f"other{n}" in got for n in range(3000)) < 60
+    assert "x" not in privacy.WordFilter.made(spark.createDataFrame([], "w string"))
+
+
 def test_surrogates_are_distinct(spark):
-    rows = [("name", f"Ana Xo{a}{b}") for a in "bcdfg" for b in "klmnp"] + [("phone", f"0{n}0 7946 0{n}00") for n in range(1, 9)]
-    got = privacy.surrogates(spark.createDataFrame(rows, "kind string, value string"), "k").collect()
+    rows = [("name", f"xo{a}{b}") for a in "bcdfg" for b in "klmnp"] + [("phone", f"{n}0794600{m}0") for n in range(1, 10) for m in range(10)] + [("id_number", f"{n:02}") for n in range(100)]
+    got = privacy.surrogates(spark.createDataFrame(rows + rows[:5], "kind string, unit string"), "k").collect()
     by = defaultdict(list)
     for r in got:
-        by[r.kind, r.surrogate].append(r.canonical)
-    assert len(got) == 33 and all(len(v) == 1 for v in by.values())
+        by[r.kind, r.surrogate].append(r.unit)
+    assert len(got) == len(rows) and all(len(v) == 1 for v in by.values())
+    assert not {(r.kind, r.surrogate) for r in got} & set(rows)
+
+
+def test_no_digits_survive():
+    rng = random.Random(4)
+    for value in ["+44 20 7946 0695", "555-123-4567 x 12345", "+1 555 987 6543", "(020) 7946 0001", "00442079460695", "+44 (0)20 7946 0695"] + ["0" + "".join(rng.choice("0123456789") for _ in range(9)) for _ in range(200)]:
+        code, national, ext, roles = privacy.phone_parts(value)
+        assert len(roles) == sum(c.isdigit() for c in value)
+        unit = f"{code}:{national}" if code else national
+        new = privacy._put("phone", value, {unit: privacy._draw("phone", unit, "k", 0)}, "k")
+        assert len(new) == len(value) and all(a == b if not a.isdigit() else True for a, b in zip(value, new))
+        old_digits, new_digits = re.sub(r"\D", "", value), re.sub(r"\D", "", new)
+        assert all(a != b for a, b, role in zip(old_digits, new_digits, roles) if role in "nx") and old_digits[-7:] != new_digits[-7:]
+        assert not code or new_digits[roles.index("c"):][: len(code)] != code
+    assert privacy._unit("phone", "+1 555 987 6543") != privacy._unit("phone", "+44 20 987 6543")
+
+
+def test_one_person_one_surrogate(spark):
+    text = "We thank Fenra Kulwald, then F. Kulwald, then Kulwald, Fenra, and FENRA KULWALD (+44 20 7946 0695, 020 7946 0695); not Oda Kulwald."
+    docs = spark.createDataFrame([(1, text, None), (2, "We thank you, then not for it. Thank them.", None)], DOCUMENTS)
+    new = {r.value: r.new for r in privacy.replacements(docs, "k").collect()}
+    given, family = new["Fenra Kulwald"].split()
+    assert new["Kulwald, Fenra"] == f"{family}, {given}" and new["F. Kulwald"] == f"{given[0]}. {family}" and new["FENRA KULWALD"] == f"{given} {family}".upper()
+    assert given[-1] == "a" and new["Oda Kulwald"].split()[1] == family and new["Oda Kulwald"].split()[0] != given
+    assert re.sub(r"\D", "", new["+44 20 7946 0695"])[2:] == re.sub(r"\D", "", new["020 7946 0695"])[1:]
