@@ -1,10 +1,11 @@
 """Evaluation texts leaking into training text: greedy string tiling of passages over documents.
 
-Seeds shared by a document and a passage are found by a Karp-Rabin rolling hash of ``SEED`` tokens, verified token by
-token. Matches are extended along their diagonals, and the longest one whose tokens are still unmarked is marked,
-again and again, until none of ``SEED`` tokens is left. The order of the passages' parts in the document does not
-matter, so reordered copies are found. A passage leaks if its marked tokens, with the single words exchanged
-between two tiles, cover enough of it.
+Seeds, windows of ``SEED`` tokens, are hashed by two Karp-Rabin rolling hashes. The seeds of the documents that a
+passage can have (a filter of bounded size says so) are joined with those of the passages on both hashes, 128 bits, and
+gathered by document and passage. There, seeds are extended along their diagonals, and the longest match whose tokens
+are still unmarked is marked, again and again, until none of ``SEED`` tokens is left. The order of the passages'
+parts in the document does not matter, so reordered copies are found. A passage leaks if its marked tokens, with the
+single words exchanged between two tiles, cover enough of it.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.llm.filters import HashFilter
 from quillgraph.llm.glyphs import normal_text
-from quillgraph.session import spread
+from quillgraph.session import cut, spread
 
 SEED = 4
 COVERAGE = 0.5
-#: Passages per broadcast index; a larger set of passages is taken in blocks of this many.
-BLOCK = 20_000
-_BASE = np.uint64(1_000_003)
+_BASES = (np.uint64(1_000_003), np.uint64(0x9E3779B97F4A7C15))
 _WORD = re.compile(r"[^\W_]+")
 _BROKEN = re.compile(r"(?<=\w)[-¬­‐]\s*\n\s*(?=\w)")
 
@@ -36,57 +36,31 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower() if text.isascii() else normal_text(text))
 
 
-def rolling(ids: np.ndarray, size: int) -> np.ndarray:
-    """Karp-Rabin hashes of all windows of ``size`` token ids, modulo 2^64."""
-    n = len(ids) - size + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            out = out * _BASE + ids[k : k + n].astype(np.uint64) + np.uint64(7)
-    return out
+def token_hashes(tokens: list[str], known: dict[str, int] | None = None) -> np.ndarray:
+    """64-bit hashes of tokens; ``known`` keeps those met before."""
+    import xxhash
+
+    known = {} if known is None else known
+    for w in tokens:
+        if w not in known:
+            known[w] = xxhash.xxh64_intdigest(w)
+    return np.fromiter((known[w] for w in tokens), np.uint64, len(tokens))
 
 
-class Index:
-    """The passages' tokens and their seeds, sorted by hash."""
-
-    def __init__(self, passages: list[tuple[int, str]]) -> None:
-        self.vocabulary: dict[str, int] = {}
-        self.items: dict[int, np.ndarray] = {}
-        hashes, owners, places = [], [], []
-        for item, text in passages:
-            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words(text)], np.int64)
-            if not len(ids):
-                continue
-            self.items[item] = ids
-            seeds = rolling(ids, min(SEED, len(ids)))
-            hashes.append(seeds)
-            owners.append(np.full(len(seeds), item, np.int64))
-            places.append(np.arange(len(seeds)))
-        order = np.argsort(np.concatenate(hashes), kind="stable") if hashes else []
-        self.hashes = np.concatenate(hashes)[order] if hashes else np.empty(0, np.uint64)
-        self.owners = np.concatenate(owners)[order] if hashes else np.empty(0, np.int64)
-        self.places = np.concatenate(places)[order] if hashes else np.empty(0, np.int64)
-        self.sizes = sorted({min(SEED, len(x)) for x in self.items.values()})
-
-    def seeds(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """(position in text, position in passage) of shared seeds, by passage."""
-        out: dict[int, list[tuple[int, int]]] = {}
-        for size in self.sizes:
-            got = rolling(ids, size)
-            if not len(got):
-                continue
-            low = np.searchsorted(self.hashes, got, "left")
-            for p in np.flatnonzero((low < len(self.hashes)) & (self.hashes[np.minimum(low, len(self.hashes) - 1)] == got)):
-                for at in range(low[p], len(self.hashes)):
-                    if self.hashes[at] != got[p]:
-                        break
-                    item, q = int(self.owners[at]), int(self.places[at])
-                    own = self.items[item]
-                    if size == min(SEED, len(own)) and (ids[p : p + size] == own[q : q + size]).all():
-                        out.setdefault(item, []).append((int(p), q))
-        return out
+def rolling(tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two Karp-Rabin hashes, with two bases, of all windows of ``size`` tokens, modulo 2^64."""
+    n = max(0, len(tokens) - size + 1)
+    out = tuple(np.zeros(n, np.uint64) for _ in _BASES)
+    with np.errstate(over="ignore"):
+        for k in range(size if n else 0):
+            for h, base in zip(out, _BASES):
+                h *= base
+                h += tokens[k : k + n]
+        for h in out:  # the last bits of a product say little
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+    return out
 
 
 def tile(seeds: list[tuple[int, int]], seed: int, of_text: int, of_item: int) -> list[tuple[int, int, int]]:
@@ -133,49 +107,66 @@ def coverage(tiles: list[tuple[int, int, int]], of_item: int) -> float:
     return float(covered.mean())
 
 
+def _seeds(texts: DataFrame, key: str, text: str, sizes: list[int] | None = None, wanted=None) -> DataFrame:
+    """``(key, at, h, g, size)``: the seeds of every text, each of at most ``SEED`` tokens.
+
+    Without ``sizes`` a text has seeds of ``SEED`` tokens or, if it is shorter, of all it has, and ``size`` is its number
+    of tokens. With them it has seeds of all these sizes, those that the filter ``wanted`` lets through.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, int] = {}
+        for batch in batches:
+            parts = []
+            if len(known) > 500_000:
+                known.clear()
+            for k, t in zip(batch[key], batch[text]):
+                tokens = token_hashes(words(t), known)
+                for size in sizes or ([min(SEED, len(tokens))] if len(tokens) else []):
+                    h, g = rolling(tokens, size)
+                    at = np.flatnonzero(wanted.value.mask(h)) if wanted else np.arange(len(h))
+                    if len(at):
+                        parts.append((np.full(len(at), k, np.int64), at, h[at].view(np.int64), g[at].view(np.int64), np.full(len(at), size if sizes else len(tokens))))
+            columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+            yield pd.DataFrame(dict(zip((key, "at", "h", "g", "size"), columns)))
+
+    return spread(texts.select(key, text).where(F.col(text) != "").dropna()).mapInPandas(run, f"{key} long, at int, h long, g long, size int")
+
+
 def leaks(documents: DataFrame, items: DataFrame, least: float = COVERAGE) -> DataFrame:
     """Every (document, passage) whose tiles cover at least ``least`` of the passage, with the coverage.
 
     ``documents(doc_id, text)``, ``items(item_id, passage)``; other columns are ignored. Returns
     ``(doc_id, item_id, coverage, tiles)``. Null ids and null or empty texts leak nothing; repeated rows of a
-    document or passage give one row; empty tables give an empty result. Documents are only scanned, never
-    shuffled beyond an even spread; the passages are broadcast in blocks of ``BLOCK``.
+    document or passage give one row; empty tables give an empty result.
+
+    Documents are read once. Only seeds that a passage may share are shuffled; a seed of many passages is split by
+    the join, and what meets in a row are the shared seeds of one document and one passage.
     """
     spark = documents.sparkSession
-    texts = spread(documents.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''"))
     stated = items.select("item_id", "passage").dropna().dropDuplicates(["item_id"])
-    blocks, block = [], []
-    for row in stated.toLocalIterator():  # the stated query set, a block at a time
-        block.append((row["item_id"], row["passage"]))
-        if len(block) == BLOCK:
-            blocks.append(block)
-            block = []
-    blocks.append(block)
-    out = None
-    for block in blocks:
-        held = spark.sparkContext.broadcast(block)
-
-        def scan(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            index = Index(held.value)
-            for batch in batches:
-                rows = []
-                for doc, text in zip(batch["doc_id"], batch["text"]):
-                    tokens = words(text)
-                    ids = np.array([index.vocabulary.get(w, -1) for w in tokens], np.int64)
-                    for item, seeds in index.seeds(ids).items():
-                        size = len(index.items[item])
-                        seed = min(SEED, size)
-                        if len({q for _, q in seeds}) * seed < least * size / 2:  # tiles are made of seeds
-                            continue
-                        tiles = tile(seeds, seed, len(ids), size)
-                        share = coverage(tiles, size)
-                        if share >= least:
-                            rows.append((doc, item, share, len(tiles)))
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "coverage", "tiles"])
-
-        part = texts.mapInPandas(scan, "doc_id long, item_id long, coverage double, tiles int")
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("doc_id", "item_id").agg(F.max("coverage").alias("coverage"), F.max("tiles").alias("tiles"))
+    theirs = cut(_seeds(stated, "item_id", "passage"))
+    sizes = [r[0] for r in theirs.select(F.least(F.lit(SEED), "size").alias("n")).distinct().orderBy("n").collect()]  # at most SEED numbers
+    wanted = spark.sparkContext.broadcast(HashFilter.made(theirs.select("h").distinct()))
+    ours = _seeds(documents, "doc_id", "text", sizes, wanted) if sizes else spark.createDataFrame([], "doc_id long, at int, h long, g long, size int")
+    pairs = ours.select("doc_id", F.col("at").alias("p"), "h", "g", F.col("size").alias("seed")).join(
+        theirs.select("item_id", F.col("at").alias("q"), "h", "g", "size", F.least(F.lit(SEED), "size").alias("seed")), ["h", "g", "seed"])
+    # tiles are made of seeds: too few of them can't cover enough
+    both = pairs.groupBy("doc_id", "item_id", "size", "seed").agg(F.collect_set(F.struct("p", "q")).alias("seeds"))
+    places = F.size(F.array_distinct(F.transform("seeds", lambda s: s["q"])))
+    both = both.where(places * F.col("seed") >= F.lit(least / 2) * F.col("size"))
+
+    def tiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc, item, size, seed, seeds in batch.itertuples(index=False):
+                places = [(s["p"], s["q"]) for s in seeds]
+                tiles = tile(places, seed, max(p for p, _ in places) + seed, size)
+                share = coverage(tiles, size)
+                if share >= least:
+                    rows.append((doc, item, share, len(tiles)))
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "coverage", "tiles"])
+
+    return both.mapInPandas(tiled, "doc_id long, item_id long, coverage double, tiles int")
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

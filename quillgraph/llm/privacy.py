@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from quillgraph.llm.filters import HashFilter
 from quillgraph.session import cut, spread
 
 KINDS = ("email", "id_number", "phone", "address", "name")
@@ -90,10 +91,6 @@ def _word_parts(text: str) -> list[str]:
     return _WORD.findall(text)
 
 
-#: Bits of a word filter for each word it holds, its hashes, and its least and largest size as powers of two.
-_PER_WORD, _HASHES, _FEWEST, _MOST = 16, 3, 16, 30
-
-
 def word_uses(texts: DataFrame, text: str = "text") -> DataFrame:
     """``(w, n, low, start, title, label)`` for every word in lower case: all its uses, those in lower case, capitalised at
     the start of a sentence, capitalised and not in capitals throughout, and beside a noun that makes it a label.
@@ -118,37 +115,11 @@ def word_uses(texts: DataFrame, text: str = "text") -> DataFrame:
         F.sum(F.when(titled, F.col("n")).otherwise(0)).alias("title"), F.sum(F.when(titled, F.col("label")).otherwise(0)).alias("label"))
 
 
-class WordFilter:
-    """A Bloom filter over words; ``made`` builds it in the executors, page by page."""
-
-    def __init__(self, bits: int, pages: dict[int, bytes]) -> None:
-        self.bits, self.pages = bits, pages
+def _filter(words: DataFrame) -> HashFilter:
+    return HashFilter.made(words.select(F.xxhash64("w").alias("h")))
 
-    @staticmethod
-    def made(words: DataFrame) -> WordFilter:
-        """The filter of ``words(w)``: ``16`` bits a word, from ``2**16`` up to ``2**30`` bits (128 MB, enough for 67 million words at that load)."""
-        count = words.count()
-        bits = 1 << min(_MOST, max(_FEWEST, (count * _PER_WORD).bit_length()))
-        h = F.xxhash64("w")
-        first, second = h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)
-        at = words.select(F.explode(F.array(*((first + second * k).bitwiseAND(F.lit(bits - 1)) for k in range(_HASHES)))).alias("p"))
-        pages = at.groupBy(F.floor(F.col("p") / 32768).cast("int").alias("page")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("b"))
-        return WordFilter(bits, {r["page"]: bytes(r["b"]) for r in pages.toLocalIterator()})
-
-    def __contains__(self, word: str) -> bool:
-        import xxhash
 
-        h = xxhash.xxh64_intdigest(word.encode(), 42)
-        first, second = h & 0xFFFFFFFF, h >> 32
-        for k in range(_HASHES):
-            p = (first + second * k) & (self.bits - 1)
-            page = self.pages.get(p >> 15)
-            if page is None or not page[(p & 32767) >> 3] >> (p & 7) & 1:
-                return False
-        return True
-
-
-def word_filters(texts: DataFrame) -> tuple[WordFilter, WordFilter]:
+def word_filters(texts: DataFrame) -> tuple[HashFilter, HashFilter]:
     """Words that are ordinary in this collection, and words that it uses as labels.
 
     A word is ordinary if at least a twentieth of its uses are in lower case, if most of its capitals stand at the
@@ -158,7 +129,7 @@ def word_filters(texts: DataFrame) -> tuple[WordFilter, WordFilter]:
     uses = cut(word_uses(texts))
     ordinary = ((F.col("low") >= 2) & (F.col("low") * 20 >= F.col("n"))) | ((F.col("n") >= 5) & (F.col("start") > 0.7 * (F.col("n") - F.col("low")))) | (F.col("low") + F.col("title") == 0)
     label = (F.col("label") >= 2) & (F.col("label") * 2 >= F.col("title"))
-    return WordFilter.made(uses.where(ordinary).select("w")), WordFilter.made(uses.where(label & ~ordinary).select("w"))
+    return _filter(uses.where(ordinary)), _filter(uses.where(label & ~ordinary))
 
 
 def _spans(text: str, ordinary, label=lambda w: False) -> list[tuple[int, int, str]]:
@@ -265,6 +236,8 @@ def entities(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     held = spark.sparkContext.broadcast(word_filters(texts))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         common, labels = held.value
         caches: tuple[dict, dict] = {}, {}
 
@@ -274,7 +247,7 @@ def entities(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
             if got is None:
                 if len(cache) > 200_000:
                     cache.clear()
-                got = cache[word] = word in (common, labels)[which]
+                got = cache[word] = xxhash.xxh64_intdigest(word.encode(), 42) in (common, labels)[which]
             return got
 
         for batch in batches:

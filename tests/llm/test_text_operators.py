@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quillgraph.llm import distinctive, encoding, glyphs, leakage, markup, packing, privacy, scans, sentences
@@ -138,14 +139,18 @@ def test_tiles_against_brute_force():
     for _ in range(25):
         item = [rng.randrange(6) for _ in range(25)]
         text = [rng.randrange(6) for _ in range(15)] + item[10:20] + [rng.randrange(6) for _ in range(5)] + item[:9]
-        index = leakage.Index([(1, " ".join(f"w{x}" for x in item))])
-        ids = np.array([index.vocabulary.get(f"w{x}", -1) for x in text], np.int64)
-        got = leakage.tile(index.seeds(ids).get(1, []), leakage.SEED, len(text), len(item))
+        seeds = [(p, q) for p in range(len(text) - 3) for q in range(22) if text[p : p + 4] == item[q : q + 4]]
+        got = leakage.tile(seeds, leakage.SEED, len(text), len(item)) if seeds else []
         want = brute_tiles(text, item, leakage.SEED)
         assert sum(t[2] for t in got) >= 0.9 * sum(t[2] for t in want)
         assert all(text[p : p + n] == item[q : q + n] for p, q, n in got)
 
 
+def test_rolling_hashes():
+    a, b = (leakage.rolling(leakage.token_hashes([f"w{x}" for x in t]), 4) for t in ([1, 2, 3, 4, 5], [9, 2, 3, 4, 5]))
+    assert a[0][1] == b[0][1] and a[1][1] == b[1][1] and a[0][0] != b[0][0] and len(leakage.rolling(leakage.token_hashes(["x"]), 4)[0]) == 0
+
+
 def test_leaks(spark):
     passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     docs = [
@@ -303,11 +308,13 @@ def test_labels_are_learned(spark):
     assert [(r.doc_id, r.value) for r in got] == [(20, "Fenra Zorvane")]
 
 
-def test_word_filter(spark):
+def test_filter(spark):
     words = [f"wört{n}" for n in range(3000)]
-    got = privacy.WordFilter.made(spark.createDataFrame([(w,) for w in words], "w string"))
-    assert all(w in got for w in words) and sum(f"other{n}" in got for n in range(3000)) < 60
-    assert "x" not in privacy.WordFilter.made(spark.createDataFrame([], "w string"))
+    got = privacy._filter(spark.createDataFrame([(w,) for w in words], "w string"))
+    hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in [*words, *(f"other{n}" for n in range(3000))]], np.uint64)
+    mask = got.mask(hashes)
+    assert mask[:3000].all() and mask[3000:].sum() < 60 and mask.tolist() == [int(h) in got for h in hashes]
+    assert 7 not in privacy._filter(spark.createDataFrame([], "w string"))
 
 
 def test_surrogates_are_distinct(spark):
