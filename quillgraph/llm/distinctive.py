@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from quillgraph.llm.glyphs import fold_text
+from quillgraph.llm.glyphs import fold_text, sql_form
 from quillgraph.session import cut, spread
 
 SMOOTHING = 0.75
@@ -91,3 +91,12 @@ def found(dataset: DataFrame, at_most: int = 5, times: int = 5) -> DataFrame:
     )
     return ranked.where((F.col("_rank") == 1) & (F.col("records") <= at_most) & (F.col("_next") >= times * F.col("records"))).select(
         "arxiv_id", "eq_number", "symbol")
+
+
+def sql_plain(column: str) -> str:
+    """``plain_key`` in SQL, but for characters that are neither letters with marks, Greek letters nor known signs."""
+    names = {chr(c): m for c in range(0x370, 0x400) if (m := _GREEK.match(unicodedata.name(chr(c), "")))}
+    out = sql_form(column)
+    for c, name in {**{c: m[2].lower() if m[1] == "SMALL" else m[2].capitalize() for c, m in names.items()}, **_SIGNS}.items():
+        out = f"replace({out}, '{c}', '{name}')"
+    return f"strip_accents({out})"

@@ -31,7 +31,7 @@ _HEADINGS = {f"h{n}": n for n in range(1, 7)}
 _ATTRIBUTES = r"(?:\s+[A-Za-z_:][\w:.-]*\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))*"
 _TAG = re.compile(rf"<!--(?P<comment>.*?)(?:-->|\Z)|</(?P<close>[A-Za-z][A-Za-z0-9]*)\s*>|<(?P<open>[A-Za-z][A-Za-z0-9]*)(?P<attr>{_ATTRIBUTES})\s*(?P<void>/?)>|<!doctype[^>]*>|-->", re.S | re.I)
 _AUTOLINK = re.compile(r"<(?:https?|ftp|mailto):[^\s<>]+>")
-_FORMULA = re.compile(r"(?<![\\$])\$(?![\s$])[^$\n]{1,400}?(?<!\\)\$(?!\$)")
+_FORMULA = re.compile(r"(?<![\\$])\$(?![\s$])[^$\n]+?(?<!\\)\$(?!\$)")
 _DISPLAY = re.compile(r"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\\((.+?)\\\)|\\begin\{(equation|align|gather|multline|displaymath|math|eqnarray)\*?\}(.+?)\\end\{\4\*?\}", re.S)
 _FENCE = re.compile(r"^[ \t]*(```|~~~)[^\n`]*\n(.*?)(?:^[ \t]*\1[ \t]*$|\Z)|\\begin\{(verbatim|lstlisting|minted)\}[^\n]*\n?(.*?)\\end\{\3\}", re.S | re.M)
 _MATH_TAG = re.compile(r"<math\b([^>]*)>(.*?)</math>", re.S | re.I)
@@ -39,7 +39,10 @@ _ALT = re.compile(r"alttext\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _SPECIAL = re.compile(r"[<>&*_`~#\[\]{}\\]|\$\$|''|^(?:[-+*=|;:]|\d+[.)]) |^-{3,}$|^[ \t]*={2,}", re.M)
 
-_HELD = re.compile("[\ue000-\ue7ff]")
+#: What stands for a formula or a block of code while markup is read: a counter in private digits between two marks.
+_HELD = re.compile("\ue000([\ue010-\ue019]+)\ue001")
+_PRIVATE = re.compile("[\ue000\ue001\ue010-\ue019]")
+_TO_DIGITS, _FROM_DIGITS = {ord("0") + n: 0xE010 + n for n in range(10)}, {0xE010 + n: ord("0") + n for n in range(10)}
 _PAGE_LINE = r"(?![ \t]*(?:\d+|[ivxlc]+)[ \t]*[-–—]?[ \t]*$)"
 
 # (pattern, replacement): inline markup, in order; a replacement keeps what is shown.
@@ -87,62 +90,110 @@ _LINE_RULES = [(k, re.compile(p, re.M)) for k, p in [
 ]]
 _SETEXT = re.compile(r"^(\S[^\n]*)\n(?:={3,}|-{3,})[ \t]*$", re.M)
 _TABLE_ROW = re.compile(r"^\s*(?:\{\|.*|\|[-+}].*|\|.*\|\s*|!.*!!.*)$", re.M)
+_WIKI_TABLE = re.compile(r"^[ \t]*\{\|[^\n]*\n?(.*?)(?:^[ \t]*\|\}[ \t]*$|\Z)", re.S | re.M)
+_PIPE_TABLE = re.compile(r"^[ \t]*\|?[^\n|]*\|[^\n]*\n[ \t]*\|?(?:[ \t]*:?-{3,}:?[ \t]*\|)+[ \t]*(?::?-{3,}:?)?[ \t]*(?:\n[ \t]*\|?[^\n|]*\|[^\n]*)*", re.M)
+
+
+def _cells(row: str) -> str:
+    return ", ".join(c.strip() for c in row if c.strip())
+
+
+def _wiki_table(m: re.Match) -> str:
+    """Rows of a wiki table on lines of their own, cells after commas; what stands before a cell's single bar is its format."""
+    rows: list[list[str]] = [[]]
+    for line in m[1].split("\n"):
+        text = line.strip()
+        if text.startswith("|-"):
+            rows.append([])
+        elif text.startswith(("|+", "|", "!")):
+            parts = re.split(r"\|\||!!", text[2 if text.startswith("|+") else 1 :])
+            rows[-1] += [re.sub(r"^[^|\[\]{}]*=[^|\[\]{}]*\|", "", c) for c in parts]
+        elif text and rows[-1]:
+            rows[-1][-1] += " " + text
+    return "\n".join(c for r in rows if (c := _cells(r)))
+
+
+def _pipe_table(m: re.Match) -> str:
+    lines = m.group().split("\n")
+    return "\n".join(c for n, x in enumerate(lines) if n != 1 and (c := _cells(x.split("|"))))
 
 
 class Node:
-    """A node of the tree: text is kept in ``parts`` between child nodes."""
+    """A node of the tree: text is kept in ``parts`` between child nodes; ``residue`` counts its pieces of markup."""
 
-    __slots__ = ("kind", "parent", "parts", "score", "level")
+    __slots__ = ("kind", "parent", "parts", "score", "level", "residue", "size", "linked")
 
     def __init__(self, kind: str, parent: Node | None) -> None:
-        self.kind, self.parent, self.parts, self.score, self.level = kind, parent, [], 0.0, 0
+        self.kind, self.parent, self.parts, self.score, self.level, self.residue, self.size, self.linked = kind, parent, [], 0.0, 0, 0, 0, 0
+
+    def nodes(self) -> list[Node]:
+        """The node and all below it, in order."""
+        out, stack = [], [self]
+        while stack:
+            n = stack.pop()
+            out.append(n)
+            stack += [p for p in reversed(n.parts) if isinstance(p, Node)]
+        return out
 
     def text(self) -> str:
-        return "".join(p if isinstance(p, str) else p.text() for p in self.parts)
+        out, stack = [], [self]
+        while stack:
+            n = stack.pop()
+            if isinstance(n, str):
+                out.append(n)
+            else:
+                stack += reversed(n.parts)
+        return "".join(out)
 
-    def nodes(self) -> Iterator[Node]:
-        for p in self.parts:
-            if isinstance(p, Node):
-                yield p
-                yield from p.nodes()
+    def measure(self) -> list[Node]:
+        """All nodes with their length without blanks, and what of it is in links."""
+        every = self.nodes()
+        for n in reversed(every):  # children come before their parents
+            n.size = sum(len("".join(p.split())) if isinstance(p, str) else p.size for p in n.parts)
+            n.linked = n.size if n.kind == "a" else sum(p.linked for p in n.parts if isinstance(p, Node))
+        return every
 
     def link_density(self) -> float:
-        total = len(self.text().strip())
-        return sum(len(n.text()) for n in self.nodes() if n.kind == "a") / total if total else 0.0
+        return self.linked / self.size if self.size else 0.0
 
 
 class Reader:
-    """Reads one text; ``residue`` counts the pieces of markup that were met."""
+    """Reads one text into a tree whose nodes know the markup that was met in them."""
 
     def __init__(self, text: str) -> None:
-        self.residue = 0
         self.held: list[tuple[str, str]] = []
         self.root = Node("body", None)
         self._read(text)
 
+    @property
+    def residue(self) -> int:
+        return sum(n.residue for n in self.root.nodes())
+
     def _hold(self, kind: str, text: str) -> str:
-        if len(self.held) >= 0x800:
-            return text
         self.held.append((kind, text))
-        return chr(0xE000 + len(self.held) - 1)
+        return f"\ue000{str(len(self.held) - 1).translate(_TO_DIGITS)}\ue001"
+
+    def _at(self, m: re.Match) -> tuple[str, str]:
+        return self.held[int(m[1].translate(_FROM_DIGITS))]
 
-    def _count(self, pattern: re.Pattern, to, text: str) -> str:
+    @staticmethod
+    def _count(node: Node, pattern: re.Pattern, to, text: str) -> str:
         text, n = pattern.subn(to, text)
-        self.residue += n
+        node.residue += n
         return text
 
     def _read(self, text: str) -> None:
-        text = _HELD.sub("", text)
-        text = self._count(_FENCE, lambda m: "\n" + self._hold("code", m[2] if m[1] else m[4]) + "\n", text)
-        text = self._count(_MATH_TAG, lambda m: self._hold("formula", html.unescape((a := _ALT.search(m[1])) and (a[1] or a[2]) or _TAG.sub("", m[2]))), text)
-        text = self._count(_DISPLAY, lambda m: self._hold("display", next(x for x in (m[1], m[2], m[3], m[5]) if x is not None).strip()), text)
+        text = _PRIVATE.sub("", text)
+        text = self._count(self.root, _FENCE, lambda m: "\n" + self._hold("code", m[2] if m[1] else m[4]) + "\n", text)
+        text = self._count(self.root, _MATH_TAG, lambda m: self._hold("formula", html.unescape((a := _ALT.search(m[1])) and (a[1] or a[2]) or _TAG.sub("", m[2]))), text)
+        text = self._count(self.root, _DISPLAY, lambda m: self._hold("display", next(x for x in (m[1], m[2], m[3], m[5]) if x is not None).strip()), text)
         text = _FORMULA.sub(lambda m: self._hold("formula", m.group()[1:-1]), text)
         for _ in range(3):  # entities of entities
             if not (_ENTITY.search(text)):
                 break
             text, n = _ENTITY.subn(lambda m: html.unescape(m.group()).replace("\x00", ""), text)
-            self.residue += n
-        text = self._count(_AUTOLINK, "", text)
+            self.root.residue += n
+        text = self._count(self.root, _AUTOLINK, "", text)
         at, node = 0, self.root
         for m in _TAG.finditer(text):
             name = (m["open"] or m["close"] or "").lower()
@@ -150,7 +201,7 @@ class Reader:
                 continue
             self._text(node, text[at : m.start()])
             at = m.end()
-            self.residue += 1
+            holder = node
             if m["open"]:
                 if name in _BLOCK or name in _DROPPED or name in ("a", *_CODE):
                     if name in ("p", "li", "dt", "dd") and node.kind == name:
@@ -158,6 +209,7 @@ class Reader:
                     child = Node(name, node)
                     child.level = _HEADINGS.get(name, 0)
                     node.parts.append(child)
+                    holder = child
                     if not m["void"] and name not in _VOID:
                         node = child
                 elif name in ("sub", "sup", "br"):
@@ -168,6 +220,7 @@ class Reader:
                     up = up.parent
                 if up.parent is not None:
                     node = up.parent
+            holder.residue += 1
         self._text(node, text[at:])
 
     def _text(self, node: Node, text: str) -> None:
@@ -176,12 +229,13 @@ class Reader:
         if node.kind in _CODE:
             node.parts.append(text)
             return
-        text = self._count(_SETEXT, r"# \1", text)
-        for m in _TABLE_ROW.finditer(text):
-            if m.group().count("|") >= 2:
-                self.residue += 1
+        text = self._count(node, _SETEXT, r"# \1", text)
+        text = self._count(node, _WIKI_TABLE, _wiki_table, text)
+        text = self._count(node, _PIPE_TABLE, _pipe_table, text)
+        node.residue += sum(m.group().count("|") >= 2 for m in _TABLE_ROW.finditer(text))
+        text = _TABLE_ROW.sub(lambda m: _cells(re.split(r"\|\||!!|\|", re.sub(r"^\s*(?:\{\|.*|\|[-+}].*|!)", "", m.group()))) if m.group().count("|") >= 2 else m.group(), text)
         for pattern, to in _INLINE_RULES[:13]:
-            text = self._count(pattern, to, text)
+            text = self._count(node, pattern, to, text)
         # lines before the rest of the inline markup, whose commands could swallow them
         pieces, at = [], 0
         marks = sorted(((m.start(), m.end(), kind, next((g for k, g in m.groupdict().items() if k != "eq" and g is not None), "")) for kind, p in _LINE_RULES for m in p.finditer(text)))
@@ -190,12 +244,12 @@ class Reader:
                 continue
             pieces.append(("text", text[at:a]))
             pieces.append((kind, inner))
-            self.residue += 1
+            node.residue += 1
             at = b
         pieces.append(("text", text[at:]))
         for kind, piece in pieces:
             for pattern, to in _INLINE_RULES[13:]:
-                piece = self._count(pattern, to, piece)
+                piece = self._count(node, pattern, to, piece)
             if kind == "text":
                 node.parts.append(piece)
             else:
@@ -209,7 +263,7 @@ class Reader:
     def best(self) -> list[Node]:
         """The container with the most points and its siblings that hold up; the whole tree if it has no containers."""
         containers: list[Node] = []
-        for n in [self.root, *self.root.nodes()]:
+        for n in self.root.measure():
             own = "".join(p for p in n.parts if isinstance(p, str)).strip()
             if n.kind not in ("p", "pre", "td", "blockquote", "li", "body", "div", "section", "article") or len(own) < 25:
                 continue
@@ -249,34 +303,33 @@ class Reader:
                 self._emit(part, out)
             flow.clear()
 
-        def walk(n: Node) -> None:
-            for p in n.parts:
-                if isinstance(p, str):
-                    flow.append(p)
-                elif p.kind in _DROPPED or p.kind in _BOILERPLATE and p.link_density() > 0.5:
-                    continue
-                elif p.kind in _CODE:
-                    flush()
-                    out.append(("code", p.text().strip("\n")))
-                elif p.level or p.kind == "li":
-                    flush()
-                    self._emit(p.text(), out, "heading" if p.level else "list_item")
-                elif p.kind in _BLOCK:
-                    flush()
-                    walk(p)
+        stack: list[Node | str | None] = list(reversed(self.best()))  # None ends a block
+        while stack:
+            p = stack.pop()
+            if p is None:
+                flush()
+            elif isinstance(p, str):
+                flow.append(p)
+            elif p.kind in _DROPPED or p.kind in _BOILERPLATE and p.link_density() > 0.5:
+                continue
+            elif p.kind in _CODE:
+                flush()
+                out.append(("code", p.text().strip("\n")))
+            elif p.level or p.kind == "li":
+                flush()
+                self._emit(p.text(), out, "heading" if p.level else "list_item")
+            else:
+                if p.kind in _BLOCK and p.kind != "body":
                     flush()
-                else:
-                    walk(p)
-
-        for n in self.best():
-            walk(n)
+                    stack.append(None)
+                stack += reversed(p.parts)
         flush()
         return out
 
     def _emit(self, text: str, out: list[tuple[str, str]], kind: str = "paragraph") -> None:
         start = 0
         for m in _HELD.finditer(text):
-            what, held = self.held[ord(m.group()) - 0xE000]
+            what, held = self._at(m)
             if what in ("code", "display"):
                 self._plain(text[start : m.start()], out, kind)
                 out.append(("code" if what == "code" else "formula", held.strip("\n")))
@@ -284,7 +337,7 @@ class Reader:
         self._plain(text[start:], out, kind)
 
     def _plain(self, text: str, out: list[tuple[str, str]], kind: str) -> None:
-        text = _HELD.sub(lambda m: f"${self.held[ord(m.group()) - 0xE000][1]}$", text)
+        text = _HELD.sub(lambda m: f"${self._at(m)[1]}$", text)
         text = re.sub(r"[ \t\xa0]*\n[ \t]*|[ \t\xa0]+", lambda m: "\n" if "\n" in m.group() and kind == "paragraph" else " ", text).strip()
         if text:
             out.append((kind, text))
@@ -296,33 +349,36 @@ def render(blocks: list[tuple[str, str]]) -> str:
     return "\n".join(mark[kind].format(text) for kind, text in blocks)
 
 
-def convert(text: str | None) -> tuple[str | None, int, list[tuple[str, str]]]:
-    """Clean text, pieces of markup, blocks. Text without markup comes back unchanged."""
+def convert(text: str | None) -> tuple[str | None, list[tuple[str, int, float]], list[tuple[str, str]]]:
+    """Clean text, the tree's nodes with markup (kind, pieces of markup, points), blocks. Text without markup comes back unchanged."""
     if text is None:
-        return None, 0, []
+        return None, [], []
+    plain = [("paragraph", text)] if text else []
     if not _SPECIAL.search(text):
-        return text, 0, [("paragraph", text)] if text else []
+        return text, [], plain
     reader = Reader(text)
     if not reader.residue:
-        return text, 0, [("paragraph", text)] if text else []
+        return text, [], plain
     blocks = reader.blocks()
-    return render(blocks), reader.residue, blocks
+    return render(blocks), [(n.kind, n.residue, n.score) for n in reader.root.nodes() if n.residue], blocks
 
 
 def clean(fields: DataFrame) -> DataFrame:
-    """``(field, id, text, residue, blocks)`` for every row of ``fields(field, id, text)``.
+    """``(field, id, text, residue, nodes, blocks)`` for every row of ``fields(field, id, text)``.
 
-    Rows are only scanned. Null texts come back null with no blocks, empty ones empty; unbalanced markup is removed
-    and its text kept; repeated rows give repeated rows; other columns are ignored.
+    ``nodes`` are the nodes of the tree in which markup was met, with its pieces and the node's points. Rows are only
+    scanned. Null texts come back null with no blocks, empty ones empty; unbalanced markup is removed and its text kept;
+    repeated rows give repeated rows; other columns are ignored. Private-use characters U+E000, U+E001 and U+E010 to
+    U+E019 are taken out of texts with markup.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             got = [convert(t) for t in batch["text"]]
             yield pd.DataFrame({
-                "field": batch["field"], "id": batch["id"], "text": [g[0] for g in got], "residue": pd.Series([g[1] for g in got], dtype="int32"),
-                "blocks": [[{"kind": k, "text": t} for k, t in g[2]] for g in got]})
+                "field": batch["field"], "id": batch["id"], "text": [g[0] for g in got], "residue": pd.Series([sum(n for _, n, _ in g[1]) for g in got], dtype="int32"),
+                "nodes": [[{"kind": k, "residue": n, "score": s} for k, n, s in g[1]] for g in got], "blocks": [[{"kind": k, "text": t} for k, t in g[2]] for g in got]})
 
-    schema = "field string, id long, text string, residue int, blocks array<struct<kind:string,text:string>>"
+    schema = "field string, id long, text string, residue int, nodes array<struct<kind:string,residue:int,score:double>>, blocks array<struct<kind:string,text:string>>"
     return spread(fields.select("field", "id", "text")).mapInPandas(run, schema)
 
 
@@ -334,5 +390,5 @@ def fields_of(equations: DataFrame, dataset: DataFrame) -> DataFrame:
 
 
 def found(equations: DataFrame, dataset: DataFrame) -> DataFrame:
-    """``p2_found``: fields with residue."""
-    return clean(fields_of(equations, dataset)).where("residue > 0").select("field", "id")
+    """``p2_found``: fields whose tree has a node with markup."""
+    return clean(fields_of(equations, dataset)).where(F.exists("nodes", lambda n: n["residue"] > 0)).select("field", "id")

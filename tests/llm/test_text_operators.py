@@ -35,6 +35,8 @@ def test_same_look_against_all_pairs(spark):
     got = {tuple(r) for r in glyphs.same_look(spark.createDataFrame(rows, "field string, scope string, id long, value string")).collect()}
     want = {("equation", min(a, b), max(a, b)) for _, _, a, v in rows for _, _, b, w in rows if a != b and v is not None and w is not None and v != w and glyphs.fold_text(v) == glyphs.fold_text(w)}
     assert got == want
+    each = glyphs.classes(spark.createDataFrame([r for r in rows if r[3]], "field string, scope string, id long, value string")).collect()
+    assert {r.id for r in each} == {x for _, a, b in want for x in (a, b)} and {(r.form, r.spellings) for r in each} == {("a b", 4), ("c", 2)}
 
 
 def test_symbol_pairs_stay_within_papers(spark):
@@ -168,15 +170,16 @@ def test_leaks(spark):
 @pytest.mark.parametrize("text, clean", [
     ("<p>a <b>b</b></p><ul><li>c</li></ul>", "a b\n- c"), ("x &amp;lt; y", "x < y"), ("**a** and `b` and ~~c~~", "a and b and c"), ("[[Mode|x]] {{cn}}y", "x y"), ("\\textbf{a} \\emph{b}~\\cite{k}", "a b"),
     ("== T ==\nbody", "T\n\nbody"), ("```\ncode  x\n```\nt", "code  x\nt"), ("a\n- b\n- c\n", "a\n- b\n- c"), ("$$x_{k}$$ t", "$x_{k}$\nt"), ('<math alttext="a < b"><mi>x</mi></math> t', "$a < b$ t"), ("a</div> b", "a b"),
+    ("T\n{| class=\"wikitable\"\n|-\n! a !! b\n|-\n| style=\"x\" | 1 || 2\n|}\nend", "T\na, b\n1, 2\nend"), ("| a | b |\n|---|---|\n| 1 | 2 |\n", "a, b\n1, 2"),
 ])
 def test_markup(text, clean):
-    got, residue, _ = markup.convert(text)
-    assert residue > 0 and got == clean
+    got, nodes, _ = markup.convert(text)
+    assert sum(n for _, n, _ in nodes) > 0 and got == clean
 
 
 @pytest.mark.parametrize("text", ["", "For a <b and c> d we use 5*11*2 and run_a_b & c.", "K' and $g_{a}$'' label", "counts #$\\eta$ ~ 5.7", "f \\ g", "see [12, Thm. 2]", "- 146 -\nHEADER", "a^dagger < 3"])
 def test_no_markup(text):
-    assert markup.convert(text)[:2] == (text, 0)
+    assert markup.convert(text)[:2] == (text, [])
 
 
 def test_boilerplate_is_left_out():
@@ -185,6 +188,15 @@ def test_boilerplate_is_left_out():
     assert "Home" not in text and "Another, too" in text
 
 
+def test_markup_without_bounds():
+    many = " ".join(f"$\\alpha_{{{n}}}$ and `c{n}`" for n in range(3000))
+    assert markup.convert(many)[0] == many.replace("`", "")
+    long = "$" + "\\frac{a}{b} + " * 300 + "c$"
+    assert markup.convert(long)[:2] == (long, [])
+    text, nodes, _ = markup.convert("<div>" * 3000 + "<p>deep words, and more of them in here</p>" + "</div>" * 3000)
+    assert text == "deep words, and more of them in here" and {k for k, _, _ in nodes} == {"div", "p"} and max(s for *_, s in nodes) > 0
+
+
 def test_markup_frames(spark):
     e = spark.createDataFrame([(1, "p", None, "<b>x</b>", None), (2, "p", None, "", "plain " * 20000 + "**x**")], EQUATIONS).withColumn("field", F.lit("clash"))
     d = spark.createDataFrame([(1, "p", "1", None, {}), (2, "p", "1", "''a''", {})], DATASET)
