@@ -40,12 +40,13 @@ _PLAIN = ("cp1252", "cp437", "mac_roman", "cp1251", "cp1250", "cp850")
 _UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
 _RUN = re.compile("[^\x00-\x7f]+")
 _CONTROLS = re.compile("[\x80-\x84\x86-\x9f]")
+_TWO_PAIRS = re.compile("(?:[\x81-\xfe][\x40-\xfe]){2}")
 _STRANGE = "￿"
 
 
 def byte_table(encoding: str) -> dict[int, str]:
-    """Characters to the bytes they stand for (as Latin-1 characters), undefined bytes passing through."""
-    table = {c: _STRANGE for c in range(0xA0, 0x100)}
+    """Characters to the bytes they stand for (as Latin-1 characters), control characters and undefined bytes passing through."""
+    table = {c: _STRANGE for c in range(0xA0, 0x100)} | {c: chr(c) for c in range(0x80, 0xA0)}
     for b in range(0x80, 0x100):
         try:
             table[ord(bytes([b]).decode(encoding))] = chr(b)
@@ -79,8 +80,11 @@ class Tables:
         for wrong, right in _PAIRS:
             decode = _decoder(right)
             self.pairs.append((f"{wrong}<{right}", {c: decode[ord(b)] for c, b in self.bytes[wrong].items() if b != _STRANGE}))
-        self.cover = {n: frozenset(chr(c) for c, b in t.items() if b != _STRANGE) for n, t in self.bytes.items()}
-        self.stretch = {w: re.compile("[\x00-\x7f" + "".join(re.escape(c) for c in self.cover[w]) + "]+") for w, _ in _WIDE}
+        cover = {n: {chr(c): b for c, b in t.items() if b != _STRANGE} for n, t in self.bytes.items()}
+        some = lambda n, low, high: "[" + "".join(re.escape(c) for c, b in cover[n].items() if low <= b <= high) + "]"
+        #: a lead byte and a continuation, as characters: without them no UTF-8 can stand in the text
+        self.leads = {n: re.compile(some(n, "\xc2", "\xf4") + some(n, "\x80", "\xbf")) for n in _TAKEN}
+        self.stretch = {w: re.compile("[\x00-\x7f" + some(w, "\x80", "\xff")[1:] + "+") for w, _ in _WIDE}
 
 
 def utf8_once(text: str, table: dict[int, str]) -> tuple[str, int]:
@@ -119,33 +123,27 @@ class Judge:
     def __init__(self, counts: np.ndarray) -> None:
         self.logs = np.log((counts + 0.1) / (counts.sum() + 0.1 * len(counts)) * len(counts) / 4).clip(-6, 8).astype(np.float32)
         self.tables = Tables()
+        self.runs: dict[tuple[str, str, str], list[tuple[int, str, float]]] = {}
 
     def score(self, text: str) -> float:
         return float(self.logs[hashes(text)].sum())
 
-    def ratio(self, before: str, after: str) -> float:
-        a, b = hashes(before), hashes(after)
-        # characters that are seen nowhere else are no restoration
-        return float(self.logs[b].sum() - self.logs[a].sum())
-
     def _utf8(self, text: str) -> list[tuple[str, float, str]]:
-        out = []
-        chars = set(text)
+        """UTF-8 taken for another encoding; of encodings that restore the same text the first stands for all."""
+        out: list[tuple[str, float, str]] = []
+        before = None
         for name in _TAKEN:
-            if sum(c in self.tables.cover[name] for c in chars if c > "\x7f") < 2:
+            if not self.tables.leads[name].search(text):
                 continue
             after, n = utf8_once(text, self.tables.bytes[name])
-            if n:
-                out.append((name, self.ratio(text, after) + min(n, 3), after))
+            if n and all(after != t for _, _, t in out):
+                before = self.score(text) if before is None else before
+                out.append((name, self.score(after) - before + min(n, 3), after))
         return out
 
     def chains(self, text: str) -> list[tuple[str, float, str]]:
-        """``(chain, ratio, restored)`` of the chains with evidence, best first."""
-        found = []
-        if "�" in text:
-            found.append(("lossy", MOST, text))
-        if self.logs[hashes(text)].min(initial=9) >= 1.5:  # nothing in it is unusual
-            return found
+        """``(chain, ratio, restored)`` of all chains with evidence, best first."""
+        found = [("lossy", MOST, text)] if "�" in text else []
         for name, ratio, after in self._utf8(text):
             # the same mistake may have been made again and again
             total, best, label = ratio, after, f"{name}<utf_8"
@@ -155,64 +153,87 @@ class Judge:
                     break
                 total, best, label = total + again[1], again[2], f"{label}+{again[0]}"
             found.append((label, total, best))
-        if not any(r > 8 and self.logs[hashes(t)].min(initial=9) >= 0 for _, r, t in found):
-            found += self._bytes(text)
+        found += self._bytes(text)
+        found += self._wide(text)
         found = sorted((x for x in found if x[1] >= LEAST), key=lambda x: -x[1])
-        return [(c, min(r, MOST), t) for c, r, t in found[:3]]
+        once = {t: (c, min(r, MOST), t) for c, r, t in reversed(found)}
+        return sorted(once.values(), key=lambda x: -x[1])
 
     @staticmethod
-    def _plausible(text: str, a: int, b: int, after: str) -> bool:
+    def _plausible(left: str, run: str, right: str, after: str) -> bool:
         """Restored letters or quotes that belong to a word: blanks and lone symbols of formulas are no evidence."""
         letters = sum(c.isalpha() for c in after)
-        if all(c in "\u00a0\u00ad\u00ac" for c in text[a:b]):  # blanks and hyphens of layout
+        if all(c in "\u00a0\u00ad\u00ac" for c in run):  # blanks and hyphens of layout
             return False
         if letters + sum(c in "¿¡«»“”„‘’–—… " for c in after) < len(after):
             return False
-        if not text[a:b].isascii() and "\u0400" <= text[a] <= "\u04ff":
+        if "\u0400" <= run[0] <= "\u04ff":
             return letters >= 3
-        near = text[a - 1 : a].isalpha() or text[b : b + 1].isalpha()
+        near = left[-1:].isalpha() or right[:1].isalpha()
         return near and letters + sum(c in "¿¡«»“”„" for c in after) > 0 or letters >= 3
 
-    def _bytes(self, text: str) -> list[tuple[str, float, str]]:
-        out = []
-        runs = [(m.start(), m.end()) for m in _RUN.finditer(text)]
-        low = [r for r in runs if self.logs[hashes(text[max(0, r[0] - 2) : r[1] + 2])].min() < 1.5]
-        if not low:
-            return out
-        for name, table in self.tables.pairs:
-            total, pieces, at = 0.0, [], 0
-            for a, b in low:
-                after = text[a:b].translate(table)
-                if after == text[a:b] or _STRANGE in after or not self._plausible(text, a, b, after):
+    def _run(self, left: str, run: str, right: str) -> list[tuple[int, str, float]]:
+        """(pair, restored run, gain) of the pairs that better a run between its neighbours; each such run is judged once."""
+        key = (left, run, right)
+        got = self.runs.get(key)
+        if got is None:
+            got, before = [], None
+            for k, (_, table) in enumerate(self.tables.pairs):
+                after = run.translate(table)
+                if after == run or _STRANGE in after or not self._plausible(left, run, right, after):
                     continue
-                left, right = text[max(0, a - 2) : a], text[b : b + 2]
-                gain = self.ratio(left + text[a:b] + right, left + after + right)
+                before = self.score(left + run + right) if before is None else before
+                gain = self.score(left + after + right) - before
                 if gain > 0:
-                    pieces += [text[at:a], after]
-                    at, total = b, total + gain
+                    got.append((k, after, gain))
+            if len(self.runs) > 200_000:
+                self.runs.clear()
+            self.runs[key] = got
+        return got
+
+    def _bytes(self, text: str) -> list[tuple[str, float, str]]:
+        """One-byte encodings taken for each other, run by run."""
+        gains: dict[int, list[tuple[int, int, str, float]]] = {}
+        for m in _RUN.finditer(text):
+            a, b = m.span()
+            for k, after, gain in self._run(text[max(0, a - 2) : a], m.group(), text[b : b + 2]):
+                gains.setdefault(k, []).append((a, b, after, gain))
+        out = []
+        for k, runs in gains.items():
+            total = sum(r[3] for r in runs)
             if total >= LEAST:
-                out.append((name, total, "".join(pieces) + text[at:]))
-        for wrong, right in _WIDE:
-            table, cover = self.tables.bytes[wrong], self.tables.cover[wrong]
-            # stretches of characters that are all bytes of the wrong encoding
-            if sum(c in cover for c in text if c > "\x7f") < 3:
-                continue
+                pieces, at = [], 0
+                for a, b, after, _ in runs:
+                    pieces += [text[at:a], after]
+                    at = b
+                out.append((self.tables.pairs[k][0], total, "".join(pieces) + text[at:]))
+        return out
+
+    def _wide(self, text: str) -> list[tuple[str, float, str]]:
+        """Two-byte encodings taken for one-byte ones: stretches of characters that are all bytes of the wrong one."""
+        out = []
+        for wrong in dict.fromkeys(w for w, _ in _WIDE):
             for m in self.tables.stretch[wrong].finditer(text):
+                if len(m.group()) < 4 or m.group().isascii():
+                    continue
+                raw = m.group().translate(self.tables.bytes[wrong])
+                if not _TWO_PAIRS.search(raw):
+                    continue
                 inner = re.search(r"[^\x00-\x7f].*[^\x00-\x7f](?:[@-~](?![a-z]{2}))?", m.group(), re.S)
-                if not inner or len(_RUN.findall(inner.group())) == 0 or sum(c > "\x7f" for c in inner.group()) < 3:
+                if not inner or sum(c > "\x7f" for c in inner.group()) < 3:
                     continue
-                raw = inner.group().translate(table)
+                raw = inner.group().translate(self.tables.bytes[wrong])
                 if _STRANGE in raw:
                     continue
-                after = raw.encode("latin-1").decode(right, "replace")
-                if after.count("�") * 5 > len(after) or not _TWO_WIDE.search(after):
-                    continue
-                a = m.start() + inner.start()
-                b = m.start() + inner.end()
-                restored = text[:a] + after.replace("�", "") + text[b:]
-                gain = self.ratio(text, restored) - 3 * after.count("�")
-                if gain >= LEAST:
-                    out.append((f"{wrong}<{right}", gain, restored))
+                a, b = m.start() + inner.start(), m.start() + inner.end()
+                for right in (r for w, r in _WIDE if w == wrong):
+                    after = raw.encode("latin-1").decode(right, "replace")
+                    if after.count("�") * 5 > len(after) or not _TWO_WIDE.search(after):
+                        continue
+                    restored = text[:a] + after.replace("�", "") + text[b:]
+                    gain = self.score(restored) - self.score(text) - 3 * after.count("�")
+                    if gain >= LEAST:
+                        out.append((f"{wrong}<{right}", gain, restored))
         return out
 
 
@@ -220,9 +241,8 @@ def plainly_garbled(text: str, tables: Tables) -> bool:
     """Strong evidence that needs no statistics; such texts stay out of the first character counts."""
     if "�" in text or _CONTROLS.search(text):
         return True
-    chars = {c for c in text if c > "\x7f"}
     for n in _PLAIN:
-        if sum(c in tables.cover[n] for c in chars) >= 2:
+        if tables.leads[n].search(text):
             found = _UTF8.findall(text.translate(tables.bytes[n]))
             if found and all(_LIKELY.match(x.encode("latin-1").decode("utf-8")) for x in found):
                 return True
@@ -230,18 +250,29 @@ def plainly_garbled(text: str, tables: Tables) -> bool:
 
 
 def character_counts(texts: DataFrame) -> np.ndarray:
-    """Counts of character buckets over all texts that are not plainly garbled: ``2**BITS`` numbers."""
+    """Weights of character buckets over all texts ``(source, text)`` that are not plainly garbled: ``2**BITS`` numbers.
+
+    A source's count of a bucket enters as its square root, so a source of a third of all rows that is garbled
+    throughout doesn't make its garbage usual.
+    """
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables, total = Tables(), np.zeros(2**BITS, np.int64)
+        tables = Tables()
         for batch in batches:
-            for text in batch["text"]:
+            sources, buckets = [], []
+            codes, names = pd.factorize(batch["source"])
+            for code, text in zip(codes, batch["text"]):
                 if not plainly_garbled(text, tables):
-                    np.add.at(total, hashes(text), 1)
-        at = np.flatnonzero(total)
-        yield pd.DataFrame({"h": at.astype(np.int32), "n": total[at]})
+                    h = hashes(text)
+                    sources.append(np.full(len(h), code))
+                    buckets.append(h)
+            if not buckets:
+                continue
+            both, n = np.unique(np.concatenate(sources) << BITS | np.concatenate(buckets), return_counts=True)
+            yield pd.DataFrame({"source": np.asarray(names)[both >> BITS], "h": (both & (2**BITS - 1)).astype(np.int32), "n": n})
 
+    per_source = texts.select("source", "text").mapInPandas(count, "source string, h int, n long").groupBy("source", "h").agg(F.sum("n").alias("n"))
     counts = np.zeros(2**BITS)
-    for row in texts.select("text").mapInPandas(count, "h int, n long").groupBy("h").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in per_source.groupBy("h").agg(F.sum(F.sqrt("n")).alias("n")).toLocalIterator():
         counts[row["h"]] = row["n"]
     return counts
 
