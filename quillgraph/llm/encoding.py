@@ -101,20 +101,49 @@ def utf8_once(text: str, table: dict[int, str]) -> tuple[str, int]:
     return "".join(out), n
 
 
-def hashes(text: str) -> np.ndarray:
-    """Buckets of the text's trigrams and characters that hold anything beyond ASCII."""
-    c = np.frombuffer(("\n" + text + "\n").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def hashes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the trigrams and characters of texts that hold anything beyond ASCII, and which text each is of."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    c = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     digit = (c >= 48) & (c <= 57)
     c = np.where(digit, np.uint64(48), np.where(c == 10, np.uint64(32), c))
     high = c > 127
-    three = high[:-2] | high[1:-1] | high[2:]
+    # every character is the middle of a trigram; the signs between texts are not
+    inside = np.ones(len(c), bool)
+    inside[np.concatenate(([0], np.cumsum(lengths + 1)))] = False
+    owner = np.repeat(np.arange(len(texts)), lengths + 1)[: len(c) - 2] if len(texts) else np.empty(0, np.int64)
+    three = (high[:-2] | high[1:-1] | high[2:]) & inside[1:-1]
+    high = high[1:-1]
     with np.errstate(over="ignore"):
         h = (c[:-2] * np.uint64(0x9E3779B1) + c[1:-1] * np.uint64(0x85EBCA77) + c[2:] * np.uint64(0xC2B2AE3D))[three]
-        one = c[high] * np.uint64(0x27D4EB2F165667C5) + np.uint64(0x165667B1)
+        one = c[1:-1][high] * np.uint64(0x27D4EB2F165667C5) + np.uint64(0x165667B1)
         h = np.concatenate((h, one))
         h ^= h >> np.uint64(29)
         h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return (h >> np.uint64(64 - BITS)).astype(np.int64)
+    return (h >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate((owner[three], owner[high]))
+
+
+def _bucket(piece: str) -> int:
+    """The bucket of one trigram or one character, as ``hashes_of`` has it."""
+    c = [48 if 48 <= ord(x) <= 57 else 32 if x == "\n" else ord(x) for x in piece]
+    h = c[0] * 0x27D4EB2F165667C5 + 0x165667B1 if len(c) == 1 else c[0] * 0x9E3779B1 + c[1] * 0x85EBCA77 + c[2] * 0xC2B2AE3D
+    h &= 0xFFFFFFFFFFFFFFFF
+    h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    return h >> 64 - BITS
+
+
+def hashes(text: str) -> np.ndarray:
+    """Buckets of one text."""
+    return hashes_of([text])[0]
+
+
+def _spliced(text: str, runs: list[tuple]) -> str:
+    """The text with its runs ``(first, end, restored, ...)`` put in."""
+    pieces, at = [], 0
+    for a, b, after, *_ in runs:
+        pieces += [text[at:a], after]
+        at = b
+    return "".join(pieces) + text[at:]
 
 
 class Judge:
@@ -124,22 +153,60 @@ class Judge:
         self.logs = np.log((counts + 0.1) / (counts.sum() + 0.1 * len(counts)) * len(counts) / 4).clip(-6, 8).astype(np.float32)
         self.tables = Tables()
         self.runs: dict[tuple[str, str, str], list[tuple[int, str, float]]] = {}
+        self.weights: dict[str, float] = {}
+        self.utf8_runs: dict[tuple[str, str, str], list[tuple[int, str, float, int]]] = {}
 
     def score(self, text: str) -> float:
         return float(self.logs[hashes(text)].sum())
 
+    def _short(self, text: str) -> float:
+        """``score`` of a few characters, whose trigrams are looked up: the same ones come again and again."""
+        total, padded = 0.0, f"\n{text}\n"
+        for n, c in enumerate(text):
+            three = padded[n : n + 3]
+            if not three.isascii():
+                got = self.weights.get(three)
+                if got is None:
+                    if len(self.weights) > 1_000_000:
+                        self.weights.clear()
+                    got = self.weights[three] = float(self.logs[_bucket(three)]) + (float(self.logs[_bucket(c)]) if c > "\x7f" else 0.0)
+                total += got
+        return total
+
+    def _gain(self, left: str, run: str, right: str, after: str) -> float:
+        return self._short(left + after + right) - self._short(left + run + right)
+
+    def _utf8_run(self, left: str, run: str, right: str) -> list[tuple[int, str, float, int]]:
+        """(encoding, restored run, gain, sequences) of a run between its neighbours; each such run is judged once."""
+        key = (left, run, right)
+        got = self.utf8_runs.get(key)
+        if got is None:
+            got, gains = [], {}
+            for k, name in enumerate(_TAKEN):
+                if self.tables.leads[name].search(run):
+                    after, n = utf8_once(run, self.tables.bytes[name])
+                    if n:
+                        if after not in gains:
+                            gains[after] = self._gain(left, run, right, after)
+                        got.append((k, after, gains[after], n))
+            if len(self.utf8_runs) > 200_000:
+                self.utf8_runs.clear()
+            self.utf8_runs[key] = got
+        return got
+
     def _utf8(self, text: str) -> list[tuple[str, float, str]]:
         """UTF-8 taken for another encoding; of encodings that restore the same text the first stands for all."""
-        out: list[tuple[str, float, str]] = []
-        before = None
-        for name in _TAKEN:
-            if not self.tables.leads[name].search(text):
-                continue
-            after, n = utf8_once(text, self.tables.bytes[name])
-            if n and all(after != t for _, _, t in out):
-                before = self.score(text) if before is None else before
-                out.append((name, self.score(after) - before + min(n, 3), after))
-        return out
+        by: dict[int, list[tuple[int, int, str, float, int]]] = {}
+        for m in _RUN.finditer(text):
+            a, b = m.span()
+            for k, *rest in self._utf8_run(text[max(0, a - 2) : a], m.group(), text[b : b + 2]):
+                by.setdefault(k, []).append((a, b, *rest))
+        out: dict[str, tuple[str, float, str]] = {}
+        for k in sorted(by):
+            after = _spliced(text, by[k])
+            if after not in out:
+                out[after] = (_TAKEN[k], sum(r[3] for r in by[k]) + min(sum(r[4] for r in by[k]), 3), after)
+        return list(out.values())
 
     def chains(self, text: str) -> list[tuple[str, float, str]]:
         """``(chain, ratio, restored)`` of all chains with evidence, best first."""
@@ -177,13 +244,12 @@ class Judge:
         key = (left, run, right)
         got = self.runs.get(key)
         if got is None:
-            got, before = [], None
+            got = []
             for k, (_, table) in enumerate(self.tables.pairs):
                 after = run.translate(table)
                 if after == run or _STRANGE in after or not self._plausible(left, run, right, after):
                     continue
-                before = self.score(left + run + right) if before is None else before
-                gain = self.score(left + after + right) - before
+                gain = self._gain(left, run, right, after)
                 if gain > 0:
                     got.append((k, after, gain))
             if len(self.runs) > 200_000:
@@ -202,11 +268,7 @@ class Judge:
         for k, runs in gains.items():
             total = sum(r[3] for r in runs)
             if total >= LEAST:
-                pieces, at = [], 0
-                for a, b, after, _ in runs:
-                    pieces += [text[at:a], after]
-                    at = b
-                out.append((self.tables.pairs[k][0], total, "".join(pieces) + text[at:]))
+                out.append((self.tables.pairs[k][0], total, _spliced(text, runs)))
         return out
 
     def _wide(self, text: str) -> list[tuple[str, float, str]]:
@@ -258,16 +320,13 @@ def character_counts(texts: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = Tables()
         for batch in batches:
-            sources, buckets = [], []
-            codes, names = pd.factorize(batch["source"])
-            for code, text in zip(codes, batch["text"]):
-                if not plainly_garbled(text, tables):
-                    h = hashes(text)
-                    sources.append(np.full(len(h), code))
-                    buckets.append(h)
-            if not buckets:
+            kept = [n for n, text in enumerate(batch["text"]) if not plainly_garbled(text, tables)]
+            if not kept:
                 continue
-            both, n = np.unique(np.concatenate(sources) << BITS | np.concatenate(buckets), return_counts=True)
+            codes, names = pd.factorize(batch["source"])
+            buckets, owner = hashes_of([batch["text"].iat[n] for n in kept])
+            sources = codes[np.array(kept)][owner]
+            both, n = np.unique(sources << BITS | buckets, return_counts=True)
             yield pd.DataFrame({"source": np.asarray(names)[both >> BITS], "h": (both & (2**BITS - 1)).astype(np.int32), "n": n})
 
     per_source = texts.select("source", "text").mapInPandas(count, "source string, h int, n long").groupBy("source", "h").agg(F.sum("n").alias("n"))

@@ -216,6 +216,14 @@ def test_utf8_round_trip():
     assert encoding.utf8_once("Ŝ^± Ã DEUX â† ok", tables.bytes["cp1252"])[1] == 0
 
 
+def test_short_scores():
+    judge = encoding.Judge(np.random.default_rng(0).integers(0, 50, 2**encoding.BITS).astype(float))
+    for text in ("größer 12 ё", "é", "", "abc", "\nЯ 7\n漢"):
+        assert abs(judge._short(text) - judge.score(text)) < 1e-3
+    h, owner = encoding.hashes_of(["é1", "", "plain", "zé"])
+    assert sorted(h[owner == 0]) == sorted(encoding.hashes("é1")) and sorted(h[owner == 3]) == sorted(encoding.hashes("zé")) and set(owner) == {0, 3}
+
+
 def test_garbled(spark):
     clean = ["größere Werte für die Übergänge", "l’état d’équilibre est réduit", "ядро памяти мало", "die Größe der Störung"]
     rows = [(n, f"p{n % 7}", "x = 1", clean[n % 4], None) for n in range(200)]
