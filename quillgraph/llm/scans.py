@@ -2,20 +2,23 @@
 
 Misread characters. Words are grouped by a skeleton in which glyphs that scanners confuse are drawn with the same
 strokes; in every group the form that is far more frequent is the candidate for the rare ones, and it is chosen where
-its neighbours support it better than the form that stands there. In scripts without spaces the same is done for
-characters between their neighbours.
+its neighbours support it better than the form that stands there. In formulas, where names have no fixed neighbours,
+the frequency alone decides. In scripts without spaces the same is done for characters between their neighbours.
 
 Running headers. Lines are masked (digits, then all words but function words). A line whose removal joins two words
 that belong together, or two halves of a word, is a header by its context; masks of which most lines are headers
-are headers wherever they stand. Page numbers have their own patterns.
+are headers wherever they stand. A line of words without a sign of a formula, inside a formula, is no part of it. Page
+numbers have their own patterns.
 
-Broken words are joined unless the hyphenated form is a word of the collection. All counting is group-bys and joins
-over all rows; nothing is collected.
+Broken words are joined unless the hyphenated form is a word of the collection. Neighbouring lines are seen, and lines
+are run together again, by windows over the lines of a field. Words are read once, with their places; all counting
+is group-bys and joins over all rows, and nothing is collected.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -73,54 +76,90 @@ def _texts(equations: DataFrame) -> DataFrame:
     ).where("text is not null and text <> ''")
 
 
-@pandas_udf(StringType())
-def _plain_glyphs(values: pd.Series) -> pd.Series:
-    return values.map({v: "\n".join(fold_text(line) for line in v.split("\n")) for v in values.dropna().unique()})
-
-
-def _triples(texts: DataFrame) -> DataFrame:
-    """(field, id, at, before, word, after) of every word; formulas count as one sign, broken words are joined first."""
-    formula = F.regexp_replace("text", r"\$[^$\n]*\$", " § ")
-    flat = F.regexp_replace(F.regexp_replace(formula, r"[-¬­‐][ \t]*\n(?=\p{L})", ""), r"\s+", " ")
-    # words in identifiers, markup and formulas are left alone
-    flat = F.regexp_replace(flat, r"[\p{L}\p{N}]*[_^\\{}<>=/&#](?:[\p{L}\p{N}{}_^\\=/&;#]+)|\S*(?:://|@\w+\.)\S*", " § ")
-    # a formula's names are words of their own kind
-    own = F.regexp_replace("text", r"[_^]\{?\d[0-9a-z]{4}\}?", " ")
-    words = F.when(F.col("field") == "equation", F.regexp_extract_all(own, F.lit(r"(?<!\p{L})(\\?[A-Za-z0-9!|]*[A-Za-z][A-Za-z0-9!|]*)(?!\p{L})"), 1)).otherwise(
-        F.regexp_extract_all(flat, F.lit(r"([\p{L}\p{N}!@†'’-]*\p{L}[\p{L}\p{N}!@†'’-]*|§|[.,;:?])"), 1))
-    listed = texts.select("field", "id", words.alias("w")).where(F.size("w") > 0)
-    each = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda k: F.struct(
-        k.alias("at"), F.when(k > 0, F.get("w", k - 1)).otherwise("").alias("before"), F.get("w", k).alias("word"), F.coalesce(F.get("w", k + 1), F.lit("")).alias("after")))
-    kind = F.when(F.col("field") == "equation", "equation").otherwise("text").alias("kind")
-    return listed.select("field", "id", kind, F.explode(each).alias("t")).select("field", "id", "kind", "t.at", F.lower("t.before").alias("before"), "t.word", F.lower("t.after").alias("after"))
-
-
-def misread(texts: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> DataFrame:
-    """``(field, id, at, word, chosen)``: words that scanners misread, with the form chosen instead."""
-    triples = _triples(texts)
-    proper = F.length("word") >= 2
-    words = triples.where(proper & F.col("word").rlike(r"\p{L}")).groupBy("kind", F.when(F.col("kind") == "equation", F.col("word")).otherwise(F.lower("word")).alias("w")).count()
-    words = cut(words.where(~F.col("w").rlike(r"^[.,;:?§]$")).withColumn("skeleton", F.concat("kind", F.lit(":"), skeleton(F.col("w")))))
-    clean = ~F.col("w").rlike(r"[\p{L}][0-9!@†|]|[0-9!@†|][\p{L}]")
-    mains = words.where(clean).groupBy("kind", "skeleton").agg(F.max_by("w", F.struct("count", "w")).alias("main"), F.max("count").alias("n"))
-    pairs = words.join(mains, ["kind", "skeleton"]).where((F.col("w") != F.col("main")) & (F.col("n") >= ratio * F.col("count")) & (F.col("n") >= 5)
-                                                      & (F.lower("w") != F.lower("main")) & ~F.col("w").isin(*_SYMBOLS) & ~F.col("w").rlike(r"^d[A-Za-z]$")).select("kind", "w", "main", "count", "n")
-    own = F.when(F.col("kind") == "equation", F.col("word")).otherwise(F.lower("word")).alias("w")
-    doubtful = triples.select("field", "id", "kind", "at", "before", "word", "after", own).join(_small(pairs), ["kind", "w"])
-    # in formulas the names are few: the frequency alone decides; in text the neighbours do
-    sure = doubtful.where((F.col("kind") == "equation") & (F.col("n") >= 3 * ratio * F.col("count"))).select("field", "id", "at", "word", F.col("main").alias("chosen"))
-    asked = cut(doubtful.where("kind = 'text'").withColumn("uid", F.xxhash64("field", "id", "at")))
-    pair = lambda main, a, b: F.struct(F.lit(main).alias("is_main"), F.col(a).alias("a"), F.col(b).alias("b"))
-    keys = asked.select("uid", F.explode(F.array(
-        pair(True, "before", "main"), pair(True, "main", "after"), pair(False, "before", "w"), pair(False, "w", "after"))).alias("k")
-    ).select("uid", "k.*").where(F.col("a").rlike(r"\p{L}") & F.col("b").rlike(r"\p{L}"))  # signs are no context
-    needed = _small(keys.select("a", "b").distinct())
-    bigrams = triples.where("kind = 'text' and after <> ''").select(F.lower("word").alias("a"), F.col("after").alias("b"))
-    bigrams = bigrams.join(needed, ["a", "b"], "left_semi").groupBy("a", "b").count()
-    counted = keys.join(bigrams, ["a", "b"]).groupBy("uid").agg(
-        F.sum(F.when(F.col("is_main"), F.col("count")).otherwise(0)).alias("for_main"), F.sum(F.when(~F.col("is_main"), F.col("count")).otherwise(0)).alias("for_own"))
-    chosen = asked.join(counted, "uid").where((F.col("for_main") >= support) & (F.col("for_main") >= 5 * (F.col("for_own") - 2))).select(
-        "field", "id", "at", "word", F.col("main").alias("chosen"))
+def _folded(text: str) -> tuple[str, list[int]]:
+    """A formula with look-alike characters united, and where each of its characters comes from."""
+    out, places = [], []
+    for n, c in enumerate(text):
+        for f in c if c in " \n" else fold_text(f"x{c}x")[1:-1]:
+            out.append(f)
+            places.append(n)
+    return "".join(out), [*places, len(text)]
+
+
+def _patterns():
+    import regex
+
+    return regex.compile(
+        r"(?P<skip>\$[^$\n]*\$|\S*(?:://|@\w+\.)\S*|[\p{L}\p{N}]*[_^\\{}<>=/&#][\p{L}\p{N}{}_^\\=/&;#]+)"
+        r"|(?P<word>[\p{N}!@†'’-]*\p{L}(?:[\p{L}\p{N}!@†'’]|-(?![ \t]*\n)|[-¬­‐][ \t]*\n(?=\p{L}))*)|(?P<sign>[.,;:?])"
+    ), regex.compile(r"(?<!\p{L})\\?[A-Za-z0-9!|]*[A-Za-z][A-Za-z0-9!|]*(?!\p{L})"), regex.compile(r"[-¬­‐][ \t]*\n")
+
+
+def read_words(texts: DataFrame) -> DataFrame:
+    """``(field, id, kind, w array<struct<word, first, end>>)``: the words and signs of every field with their places.
+
+    In text, formulas, addresses and identifiers count as one sign, and a word broken over a line end is one word. In
+    formulas every name and command is a word. Positions count characters of the field as it stands.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        prose, names, broken = _patterns()
+        for batch in batches:
+            out = []
+            for field, text in zip(batch["field"], batch["text"]):
+                if field == "equation":
+                    plain, places = (text, range(len(text) + 1)) if text.isascii() else _folded(text)
+                    out.append([(m.group(), places[m.start()], places[m.end() - 1] + 1) for m in names.finditer(plain)])
+                else:
+                    out.append([("§" if m.lastgroup == "skip" else broken.sub("", m.group()), *m.span()) for m in prose.finditer(text)])
+            yield pd.DataFrame({"field": batch["field"], "id": batch["id"], "kind": ["equation" if f == "equation" else "text" for f in batch["field"]],
+                                "w": [[{"word": w, "first": a, "end": b} for w, a, b in x] for x in out]})
+
+    return texts.select("field", "id", "text").mapInPandas(run, "field string, id long, kind string, w array<struct<word:string,first:int,end:int>>").where(F.size("w") > 0)
+
+
+def _triples(read: DataFrame) -> DataFrame:
+    """(field, id, kind, first, end, word, own, before, after) of every word; all but ``word`` in the case that counts."""
+    own = F.transform("w", lambda x: F.lower(x["word"]))
+    each = F.transform("w", lambda x, k: F.struct(
+        x["first"].alias("first"), x["end"].alias("end"), x["word"].alias("word"),
+        F.when(k > 0, F.get("_l", k - 1)).otherwise("").alias("before"), F.coalesce(F.get("_l", k + 1), F.lit("")).alias("after")))
+    rows = read.withColumn("_l", own).select("field", "id", "kind", F.explode(each).alias("t")).select("field", "id", "kind", "t.*")
+    return rows.withColumn("own", F.when(F.col("kind") == "equation", F.col("word")).otherwise(F.lower("word")))
+
+
+def misread(read: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> DataFrame:
+    """``(field, id, first, end, word, chosen)``: words of ``read_words`` that scanners misread, with the form chosen instead.
+
+    Every form of a skeleton group that is ``ratio`` times more frequent than a rare one is tried for it; a form with a
+    digit or sign among its letters has to be half as rare, in formulas, where such forms are no words, a quarter. A word
+    whose neighbours are no words has only its frequency to go by, and then must be a form of that kind.
+    """
+    triples = _triples(read)
+    counts = triples.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}")).groupBy("kind", F.col("own").alias("w")).count()
+    words = cut(counts.withColumn("skeleton", skeleton(F.col("w"))).withColumn("mixed", F.col("w").rlike(r"\p{L}[0-9!@†|]|[0-9!@†|]\p{L}")))
+    mains = words.where(~F.col("mixed") & (F.col("count") >= 5)).select("kind", "skeleton", F.col("w").alias("main"), F.col("count").alias("n"))
+    need = F.when(~F.col("mixed"), ratio).when(F.col("kind") == "equation", ratio / 4).otherwise(ratio / 2)
+    pairs = words.join(mains, ["kind", "skeleton"]).where(
+        (F.col("w") != F.col("main")) & (F.col("n") >= need * F.col("count")) & (F.lower("w") != F.lower("main")) & ~F.col("w").isin(*_SYMBOLS) & ~F.col("w").rlike(r"^d[A-Za-z]$"))
+    # in a formula a form without digits or signs may be a rare name of its own
+    pairs = pairs.where((F.col("kind") == "text") | F.col("mixed") | (F.col("n") >= 3 * ratio * F.col("count")))
+    top = Window.partitionBy("kind", "w").orderBy(F.desc("n"), "main")
+    pairs = pairs.withColumn("_best", F.row_number().over(top) == 1).select("kind", F.col("w").alias("own"), "main", "mixed", "_best")
+    doubtful = triples.join(_small(pairs), ["kind", "own"])
+    at = ["field", "id", "first", "end", "word"]
+    alone = ~F.col("before").rlike(r"\p{L}") & ~F.col("after").rlike(r"\p{L}")
+    doubtful = cut(doubtful)
+    sure = doubtful.where("_best").where((F.col("kind") == "equation") | alone & F.col("mixed")).select(*at, F.col("main").alias("chosen"))
+    asked = doubtful.where((F.col("kind") == "text") & ~(alone & F.col("mixed")))
+    pair = lambda mine, a, b: F.struct(F.lit(mine).alias("mine"), F.col(a).alias("a"), F.col(b).alias("b"))
+    keys = asked.select(*at, "main", F.explode(F.array(
+        pair(False, "before", "main"), pair(False, "main", "after"), pair(True, "before", "own"), pair(True, "own", "after"))).alias("k")
+    ).select(*at, "main", "k.*").where(F.col("a").rlike(r"\p{L}") & F.col("b").rlike(r"\p{L}"))  # signs are no context
+    bigrams = triples.where("kind = 'text' and after <> ''").groupBy(F.col("own").alias("a"), F.col("after").alias("b")).count()
+    counted = keys.join(bigrams.join(_small(keys.select("a", "b").distinct()), ["a", "b"]), ["a", "b"]).groupBy(*at, "main").agg(
+        F.sum(F.when(F.col("mine"), 0).otherwise(F.col("count"))).alias("for_main"), F.sum(F.when(F.col("mine"), F.col("count")).otherwise(0)).alias("for_own"))
+    supported = counted.where((F.col("for_main") >= support) & (F.col("for_main") >= 5 * (F.col("for_own") - 2)))
+    chosen = supported.groupBy(*at).agg(F.max_by("main", F.struct("for_main", "main")).alias("chosen"))
     return sure.unionByName(chosen)
 
 
@@ -157,51 +196,55 @@ def mask(line: Column) -> Column:
     return F.regexp_replace(F.array_join(masked, " "), r"\bw(?: - w| w)*\b", "w")
 
 
+def _neighbours(lines: DataFrame) -> DataFrame:
+    """Lines with the two above and below, by a window over the lines of a field."""
+    order = Window.partitionBy("field", "id").orderBy("line")
+    beside = lambda k: F.coalesce(F.lag("text", k).over(order) if k > 0 else F.lead("text", -k).over(order), F.lit(""))
+    return lines.withColumn("above", beside(1)).withColumn("above2", beside(2)).withColumn("below", beside(-1)).withColumn("below2", beside(-2))
+
+
 def headers(texts: DataFrame, least: int = 4) -> DataFrame:
     """``(field, id, line)``: lines that are running headers or page numbers."""
     code = r"```|~~~|\\begin\{|<(?:source|pre|code|syntaxhighlight|li|p)\b"
-    broken = texts.where(F.col("text").contains("\n") & ~F.col("text").rlike(code)).select("field", "id", F.split("text", "\n").alias("l"))
+    broken = texts.where(F.col("text").contains("\n") & ~F.col("text").rlike(code)).select("field", "id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     first = lambda c: F.lower(F.regexp_extract(c, r"^\s*([\p{L}\p{N}'’-]+|\$|\S)", 1))
     last = lambda c: F.lower(F.regexp_extract(c, r"([\p{L}\p{N}'’]+|\$|\S)[-¬­‐]?\s*$", 1))
-    split = F.col("l")
-    each = F.transform(F.sequence(F.lit(0), F.size(split) - 1), lambda k: F.struct(
-        k.alias("line"), F.get(split, k).alias("text"), F.coalesce(F.get(split, k - 1), F.lit("")).alias("above"), F.coalesce(F.get(split, k + 1), F.lit("")).alias("below"),
-        F.coalesce(F.get(split, k + 2), F.lit("")).alias("below2"), F.coalesce(F.get(split, k - 2), F.lit("")).alias("above2")))
-    lines = broken.select("field", "id", F.explode(each).alias("x")).select("field", "id", "x.*").where(F.trim("text") != "")
+    lines = _neighbours(broken).where(F.trim("text") != "")
     page = F.col("text").rlike(_PAGE) & (F.length("text") <= 100) & ~((F.col("line") == 0) & (F.col("field") == "equation"))
     # a list item or heading of markup is none
     lines = lines.withColumn("page", page & ~F.col("text").rlike(r"[=+<>\\{}]|^\s*(?:[-*#]\s+\p{L})")).withColumn("mask", mask(F.col("text")))
+    foreign = (F.col("field") == "equation") & (F.col("line") > 0) & F.col("text").rlike(r"\p{L}{3}") & ~F.col("text").rlike(r"[=+\\^_{}−±∓×·∂∑∏∫√⟨⟩⊗⊕≤≥<>→∞≈|]")
+    lines = lines.withColumn("page", F.col("page") | foreign)
     # page numbers between are seen through
     lines = lines.withColumn("above", F.when(F.col("above").rlike(_PAGE), F.col("above2")).otherwise(F.col("above"))).withColumn(
-        "below", F.when(F.col("below").rlike(_PAGE), F.col("below2")).otherwise(F.col("below")))
-    lines = cut(lines.withColumn("uid", F.xxhash64("field", "id", "line")))
+        "below", F.when(F.col("below").rlike(_PAGE), F.col("below2")).otherwise(F.col("below"))).drop("above2", "below2")
+    lines = cut(lines)
+    at = ["field", "id", "line"]
     short = F.length("text") <= 80
     inner = lines.where((F.col("above") != "") & (F.col("below") != "") & (F.col("field") != "equation") & short & ~F.col("page"))
     hyphen = F.col("above").rlike(r"\p{L}[-¬­‐]\s*$")
     pair = lambda what, a, b: F.struct(F.lit(what).alias("what"), a.alias("a"), b.alias("b"))
-    keys = inner.select("uid", F.explode(F.array(
+    keys = inner.select(*at, F.explode(F.array(
         pair("in", last(F.col("above")), first(F.col("text"))), pair("out", last(F.col("text")), first(F.col("below"))), pair("join", last(F.col("above")), first(F.col("below"))),
         pair("half", F.when(hyphen, F.concat(last(F.col("above")), first(F.col("below")))), F.lit("")),
         pair("half_in", F.when(hyphen, F.concat(last(F.col("above")), first(F.col("text")))), F.lit("")))).alias("k")
-    ).select("uid", "k.*").where("a is not null and a <> ''")
-    flat = F.regexp_replace(F.regexp_replace("text", r"\$[^$\n]*\$", r" \$ "), r"[ \t]+", " ")
+    ).select(*at, "k.*").where("a is not null and a <> ''")
+    # pairs of neighbouring words, and words alone, inside the lines of all fields
+    flat = F.regexp_replace("text", r"\$[^$\n]*\$", r" \$ ")
     tokens = texts.where(F.col("field") != "equation").select(F.explode(F.split(flat, "\n")).alias("x")).select(
-        F.transform(F.regexp_extract_all("x", F.lit(r"([\p{L}\p{N}'’-]+|\$|[^\s\p{L}\p{N}])"), 1), lambda w: F.lower(w)).alias("w"))
-    pairs = tokens.where(F.size("w") > 0).select(F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda k: F.struct(F.get("w", k).alias("a"), F.coalesce(F.get("w", k + 1), F.lit("")).alias("b")))).alias("p"))
-    pairs = pairs.select("p.a", "p.b")
-    both = pairs.unionByName(pairs.select("a", F.lit("").alias("b")).where(F.length("a") > 2))
-    needed = _small(keys.select("a", "b").distinct())
-    counts = both.join(needed, ["a", "b"], "left_semi").groupBy("a", "b").count()
-    joined = keys.join(counts, ["a", "b"], "left").groupBy("uid").agg(*(F.max(F.when(F.col("what") == w, F.coalesce("count", F.lit(0)))).alias(w) for w in ("in", "out", "join", "half", "half_in")))
-    proof = joined.select("uid", (
+        F.transform(F.regexp_extract_all("x", F.lit(r"([\p{L}\p{N}'’-]+|\$|[^\s\p{L}\p{N}])"), 1), lambda w: F.lower(w)).alias("w")).where(F.size("w") > 0)
+    pairs = tokens.select(F.explode(F.transform("w", lambda x, k: F.struct(x.alias("a"), F.coalesce(F.get("w", k + 1), F.lit("")).alias("b")))).alias("p")).groupBy("p.a", "p.b").count()
+    both = pairs.unionByName(pairs.where(F.length("a") > 2).groupBy("a").agg(F.sum("count").alias("count")).select("a", F.lit("").alias("b"), "count"))
+    counts = both.join(_small(keys.select("a", "b").distinct()), ["a", "b"]).groupBy("a", "b").agg(F.sum("count").alias("count"))
+    joined = keys.join(_small(counts), ["a", "b"], "left").groupBy(*at).agg(*(F.max(F.when(F.col("what") == w, F.coalesce("count", F.lit(0)))).alias(w) for w in ("in", "out", "join", "half", "half_in")))
+    proof = joined.select(*at, (
         (F.coalesce("half", F.lit(0)) >= 2) & (F.coalesce("half_in", F.lit(0)) == 0) | (F.col("join") >= 2) & (F.col("in") == 0) & (F.col("out") <= 1)).alias("proved"), (F.col("in") >= 2).alias("plain"))
+    judged = cut(lines.join(proof, at, "left"))
+    known = judged.where("proved is not null").groupBy("mask").agg(F.sum(F.col("proved").cast("int")).alias("yes"), F.sum((F.col("plain") & ~F.col("proved")).cast("int")).alias("no"))
     # lines of one word prove nothing about others
-    known = lines.join(proof, "uid").groupBy("mask").agg(F.sum(F.col("proved").cast("int")).alias("yes"), F.sum((F.col("plain") & ~F.col("proved")).cast("int")).alias("no"))
     masks = known.where((F.col("yes") >= least) & (F.col("yes") >= 4 * F.col("no")) & (F.length("mask") > 2)).select("mask", F.lit(True).alias("known"))
-    marked = lines.join(masks, "mask", "left").join(proof.where("proved").select("uid", "proved"), "uid", "left")
-    return marked.where(
-        F.col("page") | F.coalesce("known", F.lit(False)) & short & ~F.col("text").rlike(r"[=\\]") | F.coalesce("proved", F.lit(False))
-    ).select("field", "id", "line")
+    marked = judged.join(_small(masks), "mask", "left")
+    return marked.where(F.col("page") | F.coalesce("known", F.lit(False)) & short & ~F.col("text").rlike(r"[=\\]") | F.coalesce("proved", F.lit(False))).select(*at)
 
 
 def broken_words(texts: DataFrame) -> DataFrame:
@@ -222,10 +265,10 @@ def broken_words(texts: DataFrame) -> DataFrame:
     return soft.unionByName(odd.select("field", "id", "at", "left", "right"))
 
 
-def _prepared(equations: DataFrame) -> DataFrame:
-    texts = _texts(equations)
-    folded = texts.withColumn("text", F.when((F.col("field") == "equation") & F.col("text").rlike(r"[^\x00-\x7f]"), _plain_glyphs("text")).otherwise(F.col("text")))
-    return cut(spread(folded))
+def _found_in(equations: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The fields, and what is damaged in them by kind."""
+    texts = cut(spread(_texts(equations)))
+    return texts, {"glyph": misread(cut(read_words(texts))), "character": misread_characters(texts), "header": headers(texts), "hyphen": broken_words(texts)}
 
 
 def damage(equations: DataFrame) -> DataFrame:
@@ -234,45 +277,74 @@ def damage(equations: DataFrame) -> DataFrame:
     Null and empty fields have none; repeated rows are separate rows; an empty table gives an empty result; other
     columns are ignored.
     """
-    texts = _prepared(equations)
-    marks = [(misread(texts), "glyph"), (misread_characters(texts), "glyph"), (headers(texts), "header"), (broken_words(texts), "hyphen")]
     out = None
-    for frame, kind in marks:
-        part = frame.select("field", "id", F.lit(kind).alias("kind"))
+    for kind, frame in _found_in(equations)[1].items():
+        part = frame.select("field", "id", F.lit("glyph" if kind == "character" else kind).alias("kind"))
         out = part if out is None else out.unionByName(part)
     return out.distinct()
 
 
+def _replaced(text: str, words, signs) -> str:
+    """The text with misread words and characters put right at their places; the number of its lines stays."""
+    edits = []
+    for w in words:
+        new, old = w["chosen"], text[w["first"] : w["end"]]
+        if old[:1].isupper() and not new.startswith("\\"):
+            new = new.upper() if len(old) > 1 and old.isupper() else new[:1].upper() + new[1:]
+        edits.append((w["first"], w["end"], new + "\n" * old.count("\n")))
+    if len(signs):
+        # places among the characters that are neither blank nor in a formula, a formula being one
+        places = []
+        for m in re.finditer(r"\$[^$\n]*\$|\s+|.", text, re.S):
+            if not m.group().isspace():
+                places.append(m.start())
+        edits += [(places[s["at"] + 1], places[s["at"] + 1] + 1, s["chosen"]) for s in signs if s["at"] + 1 < len(places) and text[places[s["at"] + 1]] == s["word"]]
+    for a, b, new in sorted(edits, reverse=True):
+        text = text[:a] + new + text[b:]
+    return text
+
+
+@pandas_udf(StringType())
+def _put_right(texts: pd.Series, words: pd.Series, signs: pd.Series) -> pd.Series:
+    return pd.Series([_replaced(t, [] if w is None else w, [] if s is None else s) for t, w, s in zip(texts, words, signs)], dtype=object)
+
+
 def repair(equations: DataFrame) -> DataFrame:
     """``(field, id, text, fixes)``: every field repaired into continuous text, and the number of its repairs.
 
-    Headers are taken out line by line, broken words are joined, other hyphens at line ends stay with their word, lines
-    are run together within a paragraph, and misread words get the form chosen for them in the case they stand in.
-    Fields without damage come back as they are, null and empty ones are left out. Ids are taken as unique.
+    Misread words get the form chosen for them at their places, in the case they stand in; headers are left out, broken
+    words are joined, other hyphens at line ends stay with their word, and lines are run together within a paragraph,
+    each line looking at the next by a window. Fields without damage come back as they are, null and empty ones are
+    left out. Ids are taken as unique.
     """
-    texts = _prepared(equations)
-    gone = headers(texts).groupBy("field", "id").agg(F.collect_set("line").alias("_gone"))
-    halves = broken_words(texts).where("left <> ''").groupBy("field", "id").agg(F.collect_set(F.struct("left", "right")).alias("_halves"))
-    words = misread(texts).groupBy("field", "id").agg(F.collect_set(F.struct("word", "chosen")).alias("_words"))
-    signs = misread_characters(texts).groupBy("field", "id").agg(F.collect_set(F.struct("word", "chosen")).alias("_signs"))
-    joined = texts
-    for part in (gone, halves, words, signs):
-        joined = joined.join(part, ["field", "id"], "left")
-    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<{kind}>"))
-    joined = joined.select("field", "id", "text", none("_gone", "int").alias("_gone"), none("_halves", "struct<left:string,right:string>").alias("_halves"),
-                           none("_words", "struct<word:string,chosen:string>").alias("_words"), none("_signs", "struct<word:string,chosen:string>").alias("_signs"))
-    lines = F.filter(F.split("text", "\n"), lambda x, n: ~F.array_contains(F.col("_gone"), n))
-    out = joined.withColumn("_t", F.array_join(lines, "\n")).withColumn("_soft", F.regexp_count("_t", F.lit(r"\p{L}[¬­][ \t]*\n")))
-    out = out.withColumn("_t", F.regexp_replace("_t", r"(\p{L})[¬­][ \t]*\n[ \t]*(?=\p{L})", "$1"))
-    out = out.withColumn("_t", F.aggregate("_halves", F.col("_t"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<!\p{L})"), x["left"], F.lit(r"-[ \t]*\n[ \t]*"), x["right"]), F.concat(x["left"], x["right"]))))
-    out = out.withColumn("_t", F.regexp_replace(F.regexp_replace("_t", r"(\p{L})-[ \t]*\n[ \t]*(?=\p{L})", "$1-"), r"(?<!\n)[ \t]*\n[ \t]*(?!\n)", " "))
-    first = lambda w: F.substring(w, 1, 1)
-    cased = lambda x: F.when((first(x["word"]) != F.lower(first(x["word"]))) & ~x["chosen"].startswith("\\"), F.concat(F.upper(first(x["chosen"])), F.substr(x["chosen"], F.lit(2)))).otherwise(x["chosen"])
-    put = lambda c: F.regexp_replace(c, r"([\\$])", r"\\$1")
-    out = out.withColumn("_t", F.aggregate("_words", F.col("_t"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(r"(?<![\p{L}\p{N}])\Q"), x["word"], F.lit(r"\E(?![\p{L}\p{N}])")), put(cased(x)))))
-    out = out.withColumn("_t", F.aggregate("_signs", F.col("_t"), lambda t, x: F.replace(t, x["word"], x["chosen"])))
-    fixes = F.size("_gone") + F.size("_halves") + F.size("_words") + F.size("_signs") + F.col("_soft")
-    return out.select("field", "id", F.when(fixes > 0, F.trim("_t")).otherwise(F.col("text")).alias("text"), fixes.cast("int").alias("fixes"))
+    texts, kinds = _found_in(equations)
+    kinds = {k: cut(v) for k, v in kinds.items()}
+    key = ["field", "id"]
+    words = kinds["glyph"].groupBy(*key).agg(F.collect_set(F.struct("first", "end", "chosen")).alias("_words"))
+    signs = kinds["character"].groupBy(*key).agg(F.collect_set(F.struct("at", "word", "chosen")).alias("_signs"))
+    others = kinds["header"].select(*key).unionByName(kinds["hyphen"].select(*key)).groupBy(*key).agg(F.count("*").alias("_others"))
+    joined = texts.join(words, key, "left").join(signs, key, "left").join(others, key, "left")
+    fixes = (F.coalesce(F.size("_words"), F.lit(0)) + F.coalesce(F.size("_signs"), F.lit(0)) + F.coalesce("_others", F.lit(0))).cast("int")
+    counted = joined.withColumn("fixes", fixes)
+    whole = counted.where("fixes = 0").select(*key, "text", "fixes")
+    lines = counted.where("fixes > 0").select(*key, "fixes", F.posexplode(F.split(_put_right("text", "_words", "_signs"), "\n")).alias("line", "text"))
+    lines = lines.join(kinds["header"].select(*key, "line"), [*key, "line"], "left_anti")
+    halves = kinds["hyphen"].where("left <> ''").select(*key, F.col("left").alias("_left"), F.col("right").alias("_right"), F.lit(True).alias("_join")).distinct()
+    order = Window.partitionBy(*key).orderBy("line")
+    lines = lines.withColumn("next", F.lead("text").over(order))
+    lines = lines.withColumn("_left", F.regexp_extract("text", r"(\p{L}+)-[ \t]*$", 1)).withColumn("_right", F.regexp_extract(F.coalesce("next", F.lit("")), r"^[ \t]*(\p{L}+)", 1))
+    lines = lines.join(halves, [*key, "_left", "_right"], "left")
+    goes_on = F.col("_right") != ""
+    soft, hard = F.col("text").rlike(r"\p{L}[¬­][ \t]*$") & goes_on, (F.col("_left") != "") & goes_on
+    blank = (F.trim("text") == "") | (F.trim("next") == "")
+    piece = (
+        F.when(F.col("next").isNull(), F.col("text")).when(soft | hard & F.col("_join"), F.regexp_replace("text", r"[-¬­][ \t]*$", "")).when(hard, F.rtrim("text"))
+        .when(blank, F.concat("text", F.lit("\n"))).otherwise(F.concat(F.rtrim("text"), F.lit(" "))))
+    # a line goes on where the one above ends: its own indent is layout
+    led = F.coalesce(F.trim(F.lag("text").over(order)) != "", F.lit(False))
+    pieces = lines.withColumn("_p", piece).withColumn("_p", F.when(led, F.ltrim("_p")).otherwise(F.col("_p")))
+    done = pieces.groupBy(*key, "fixes").agg(F.array_sort(F.collect_list(F.struct("line", "_p"))).alias("_l"))
+    return whole.unionByName(done.select(*key, F.trim(F.array_join(F.transform("_l", lambda x: x["_p"]), "")).alias("text"), "fixes"))
 
 
 def found(equations: DataFrame) -> DataFrame:
