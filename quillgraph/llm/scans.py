@@ -132,7 +132,7 @@ def misread(read: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> Data
 
     Every form of a skeleton group that is ``ratio`` times more frequent than a rare one is tried for it; a form with a
     digit or sign among its letters has to be half as rare, in formulas, where such forms are no words, a quarter. A word
-    whose neighbours are no words has only its frequency to go by, and then must be a form of that kind.
+    whose neighbours are no words has only its frequency to go by, and then must be a form of that kind, mostly letters.
     """
     triples = _triples(read)
     counts = triples.where((F.length("word") >= 2) & F.col("word").rlike(r"\p{L}")).groupBy("kind", F.col("own").alias("w")).count()
@@ -141,13 +141,14 @@ def misread(read: DataFrame, ratio: int = RATIO, support: int = SUPPORT) -> Data
     need = F.when(~F.col("mixed"), ratio).when(F.col("kind") == "equation", ratio / 4).otherwise(ratio / 2)
     pairs = words.join(mains, ["kind", "skeleton"]).where(
         (F.col("w") != F.col("main")) & (F.col("n") >= need * F.col("count")) & (F.lower("w") != F.lower("main")) & ~F.col("w").isin(*_SYMBOLS) & ~F.col("w").rlike(r"^d[A-Za-z]$"))
-    # in a formula a form without digits or signs may be a rare name of its own
-    pairs = pairs.where((F.col("kind") == "text") | F.col("mixed") | (F.col("n") >= 3 * ratio * F.col("count")))
+    # in a formula a short form without digits or signs may be a rare name of its own
+    pairs = pairs.where((F.col("kind") == "text") | F.col("mixed") | (F.length("w") > 2) | (F.col("n") >= 3 * ratio * F.col("count")))
     top = Window.partitionBy("kind", "w").orderBy(F.desc("n"), "main")
     pairs = pairs.withColumn("_best", F.row_number().over(top) == 1).select("kind", F.col("w").alias("own"), "main", "mixed", "_best")
     doubtful = triples.join(_small(pairs), ["kind", "own"])
     at = ["field", "id", "first", "end", "word"]
-    alone = ~F.col("before").rlike(r"\p{L}") & ~F.col("after").rlike(r"\p{L}")
+    worded = F.length(F.regexp_replace("word", r"\P{L}", "")) * 2 > F.length("word")
+    alone = ~F.col("before").rlike(r"\p{L}") & ~F.col("after").rlike(r"\p{L}") & worded
     doubtful = cut(doubtful)
     sure = doubtful.where("_best").where((F.col("kind") == "equation") | alone & F.col("mixed")).select(*at, F.col("main").alias("chosen"))
     asked = doubtful.where((F.col("kind") == "text") & ~(alone & F.col("mixed")))
