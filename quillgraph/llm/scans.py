@@ -92,7 +92,7 @@ def _patterns():
     return regex.compile(
         r"(?P<skip>\$[^$\n]*\$|\S*(?:://|@\w+\.)\S*|[\p{L}\p{N}]*[_^\\{}<>=/&#][\p{L}\p{N}{}_^\\=/&;#]+)"
         r"|(?P<word>[\p{N}!@†'’-]*\p{L}(?:[\p{L}\p{N}!@†'’]|-(?![ \t]*\n)|[-¬­‐][ \t]*\n(?=\p{L}))*)|(?P<sign>[.,;:?])"
-    ), regex.compile(r"(?<!\p{L})\\?[A-Za-z0-9!|]*[A-Za-z][A-Za-z0-9!|]*(?!\p{L})"), regex.compile(r"[-¬­‐][ \t]*\n")
+    ), regex.compile(r"(?<![\p{L}\x80-\xbf])\\?[A-Za-z0-9!|]*[A-Za-z][A-Za-z0-9!|]*(?![\p{L}\x80-\xbf])"), regex.compile(r"[-¬­‐][ \t]*\n")
 
 
 def read_words(texts: DataFrame) -> DataFrame:
