@@ -12,11 +12,15 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from quillgraph.functions import text as T
 from quillgraph.functions.symbols import key_of, tokenize
 
 SAME_LABEL, ANY, CORE = 0.55, 0.72, 0.82
+# Formulas that are compared, and the bounds of the arbitration.
+FIRST, USABLE, DIFFERENT, DOUBTFUL = 3, 0.5, 0.28, 0.48
 _SCHEMA = "document string, ord int, eq_number string, equation string, equation_text_source string, context_source string, matched_ord int, score double, rule string"
 
 
@@ -95,10 +99,38 @@ def match(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.groupBy("document").cogroup(right.groupBy("document")).applyInPandas(run, _SCHEMA).where("ord is not null")
 
 
-def arbitrate(left_quality: DataFrame, right_quality: DataFrame) -> DataFrame:
-    """Per document, whether the left set of formulas beats the right one by quality: ``(document, left, right, prefer)``."""
-    joined = left_quality.select("document", F.col("quality").alias("left")).join(right_quality.select("document", F.col("quality").alias("right")), "document", "full_outer")
-    return joined.withColumn("prefer", F.when(F.col("right").isNull(), "left").when(F.col("left").isNull(), "right").when((F.col("left") >= 0.5) & (F.col("left") > F.col("right")), "left").otherwise("right"))
+@pandas_udf(DoubleType())
+def likeness(left: pd.Series, right: pd.Series) -> pd.Series:
+    """``similarity`` of two columns of formulas; a null is like nothing."""
+    return pd.Series([similarity(a, b) for a, b in zip(left, right)], dtype="float64")
+
+
+def set_similarity(left: DataFrame, right: DataFrame, first: int = FIRST) -> DataFrame:
+    """``(document, similarity, pairs)``: mean likeness of the ``first`` formulas of both sets, joined by their place.
+
+    Both are ``(document, place, equation)``, places from 1. A document of one side only has no row; a place of one
+    side only is no pair.
+    """
+    side = lambda df, name: df.where(F.col("place") <= first).select("document", "place", F.col("equation").alias(name))
+    both = side(left, "a").join(side(right, "b"), ["document", "place"])
+    return both.groupBy("document").agg(F.round(F.avg(likeness("a", "b")), 6).alias("similarity"), F.count("*").alias("pairs"))
+
+
+def arbitrate(left: DataFrame, right: DataFrame, alike: DataFrame) -> DataFrame:
+    """Which of two sets of formulas a document takes: ``(document, left, right, similarity, prefer, reason)``.
+
+    ``left`` and ``right`` are ``(document, quality, garbled)`` with the number of garbled formulas, ``alike`` comes from
+    ``set_similarity``. The right set is the default. The left one is taken where it is the only one, or where it is
+    good enough (0.5), not both worse and garbled, and the sets tell different formulas: a likeness below 0.48.
+    """
+    joined = left.select("document", F.col("quality").alias("left"), F.col("garbled").alias("_g")).join(
+        right.select("document", F.col("quality").alias("right")), "document", "full_outer").join(alike, "document", "left")
+    like = F.coalesce("similarity", F.lit(0.0))
+    worse = (F.col("right") > F.col("left")) & (F.col("_g") > 0)
+    reason = (
+        F.when(F.col("right").isNull(), "only set").when(F.col("left").isNull(), "no left set").when(F.col("left") < USABLE, "left set is poor").when(worse, "left set is garbled")
+        .when(like < DIFFERENT, "sets differ").when(like < DOUBTFUL, "sets differ in part").otherwise("sets agree"))
+    return joined.select("document", "left", "right", "similarity", F.when(reason.isin("only set", "sets differ", "sets differ in part"), "left").otherwise("right").alias("prefer"), reason.alias("reason"))
 
 
 def garbled(c):

@@ -6,6 +6,7 @@ Every query runs over its whole tables. The names carry the numbers of the opera
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from quillgraph.functions import labels as L
 from quillgraph.functions import latexify as X
 from quillgraph.functions import symbols as S
 from quillgraph.functions import text as T
+from quillgraph.operators import meaning as E
 from quillgraph.operators import provenance as P
 from quillgraph.operators import reconcile as M
 from quillgraph.operators import relations as G
@@ -96,10 +98,28 @@ _QUALITY = (
 _IN = lambda words: "(" + ", ".join(f"'{w}'" for w in words) + ")"
 _WORDS = "string_split(coalesce(phrase, ''), ' ')"
 _NAMED = f"CASE WHEN len({_WORDS}) = 1 THEN regexp_full_match(coalesce(phrase, ''), '[A-Z]{{2,}}') ELSE len(list_filter({_WORDS}, lambda w: regexp_full_match(w, '[A-Z][A-Za-z0-9-]{{2,}}|[A-Z]{{2,}}'))) > 0 END"
-_VALID = f"""(NOT (length(coalesce(phrase, '')) < 3 OR (len({_WORDS}) = 1 AND lower(phrase) IN {_IN(T._GENERIC)}) OR len(list_filter({_WORDS}, lambda w: trim(replace(lower(w), '.', ' ')) IN {_IN(T._REFERENCES)})) > 0
-      OR regexp_full_match(phrase, '[A-Za-z]{{1,6}}\\d{{1,4}}[a-z]?') OR regexp_matches(phrase, '[A-Za-z]\\d{{4}}|\\d{{4}}[A-Za-z]') OR regexp_matches(phrase, '[^A-Za-z0-9 ''\\-/]') OR regexp_matches(lower(phrase), '{T._VERBS.replace(chr(92), chr(92))}')
-      OR regexp_matches(lower(phrase), '\\b{T._EDGE}\\s*$') OR regexp_matches(lower(phrase), '^(?:of|and|or|in|on|for|to|by|with|as|from|that|which)\\b') OR regexp_matches(phrase, '(?i)^(?:I{{1,3}}|IV|V?I{{0,3}}|I?X|X{{0,3}}I{{0,3}})(?:\\s+[A-Z])?$')
-      OR phrase IN ('LHS', 'RHS', 'lhs', 'rhs') OR length(regexp_replace(phrase, '[^A-Za-z]', '', 'g')) < 3 OR len({_WORDS}) > 6 OR (len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: length(w) <= 2)) * 2 > len({_WORDS}))) AND (len({_WORDS}) >= 2 OR {_NAMED}))"""
+_PARTS = "regexp_extract_all(lower(coalesce(phrase, '')), '[a-z0-9]+')"
+_VALID = f"""(NOT (list_has_any({_PARTS}, [{', '.join(f"'{w}'" for w in T._CLAUSE)}]) OR regexp_extract(lower(coalesce(phrase, '')), '([a-z]+)\\s*$', 1) IN {_IN(T._LAST)} OR regexp_extract(lower(coalesce(phrase, '')), '^([a-z]+)([^a-z0-9]|$)', 1) IN {_IN(T._FIRST)}
+      OR (len({_WORDS}) = 1 AND lower(coalesce(phrase, '')) IN {_IN(T._GENERIC)}) OR coalesce(phrase, '') IN {_IN(T._SIDES)} OR len(list_filter({_WORDS}, lambda w: trim(replace(lower(w), '.', ' ')) IN {_IN(T._REFERENCES)})) > 0
+      OR regexp_matches(coalesce(phrase, ''), '(?i)^(?:I{{1,3}}|IV|V?I{{0,3}}|I?X|X{{0,3}}I{{0,3}})(?:\\s+[A-Z])?$') OR regexp_matches(coalesce(phrase, ''), '^[A-Za-z]{{1,6}}\\d{{1,4}}[a-z]?$') OR regexp_matches(coalesce(phrase, ''), '[A-Za-z]\\d{{4}}|\\d{{4}}[A-Za-z]')
+      OR regexp_matches(coalesce(phrase, ''), '[^A-Za-z0-9 ''\\-/]') OR length(regexp_replace(coalesce(phrase, ''), '[^A-Za-z]', '', 'g')) < 3 OR len({_WORDS}) > {T.MOST_WORDS}
+      OR (len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: length(w) <= 2)) * 2 > len({_WORDS}))) AND (len({_WORDS}) >= 2 OR {_NAMED}))"""
+
+# sentences
+_SCRUB = lambda c: "trim(regexp_replace(" + reduce(lambda x, p: f"regexp_replace({x}, '{p}', ' ', 'g')", (
+    "(?i)\\b(?:ket|bra|langle|rangle|otimes|oplus|ominus|odot|dagger|mathrm|mathcal|mathbb|mathbf|mathfrak|mathsf|hat|vec|tilde|overline|underline|overrightarrow|boldsymbol)\\b",
+    "\\b[A-Z]\\S{1,25}(?:\\s+\\S{1,15})?\\s+et[\\s\\x{a0}]+al\\.?\\s*\\(\\s*\\d{4}[^)]*\\)", "[^\\x00-\\x7f]+", "\\[[^\\]]{0,30}\\]", "[{}_^\\\\]", "\\b(?:[A-Za-z]\\s+){2,}[A-Za-z]\\b"), f"coalesce({c}, '')") + ", '\\s+', ' ', 'g'))"
+_CUT = lambda c, stops: f"list_filter(list_transform(string_split(regexp_replace({c}, '([{stops}])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
+_PHRASES = lambda c: _CUT(_SCRUB(c), ".!?;:")
+def _REFERRING(c):
+    kept = _SQ(c)
+    for short in ("Eqs", "Eq", "Fig", "Sec"):
+        kept = f"replace({kept}, '{short}.', '{short}§')"
+    return f"list_transform({_CUT(kept, '.!?;')}, lambda x: replace(x, '§', '.'))"
+
+
+_CLAUSES = lambda c: _CUT(_SQ(c), ".;")
+_LAST_RECORDS = "(SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY arxiv_id, eq_number ORDER BY rec_id DESC) AS r FROM dataset) WHERE r = 1)"
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {}
 
@@ -127,13 +147,11 @@ def _o02(spark, folder):
 
 
 @_add("o05_html", f"""SELECT document, eq_number, equation FROM (SELECT arxiv_id AS document, {_N} AS eq_number,
-      regexp_replace(trim(regexp_replace(replace(equation, '%', ' '), '[\\s]+', ' ', 'g')), ' ?= ?', '=', 'g') AS equation FROM {_TOP} WHERE regexp_full_match(equation, '[ -~]*'))
+      regexp_replace({_SQ("replace(equation, '%', ' ')")}, ' ?= ?', '=', 'g') AS equation FROM {_TOP})
       WHERE length(equation) >= 8 AND {_ANY('equation', T.MATH_TOKENS)}""")
 def _o05(spark, folder):
     # the twin has no filters of the operator after the first seven formulas; o05_html_pages reads whole pages
-    parsed = D.parse_html(spread(_pages(_top(spark, folder))), k=1_000_000)
-    ascii_only = _top(spark, folder).where(F.col("equation").rlike("^[ -~]*$")).select(F.col(DOC).alias("document"), L.normalize_label(F.col(LABEL)).alias(LABEL))
-    return parsed.select("document", LABEL, "equation").join(ascii_only, ["document", LABEL], "left_semi")
+    return D.parse_html(spread(_pages(_top(spark, folder))), k=1_000_000, recover=False).select("document", LABEL, "equation")
 
 
 @_add("o05_html_pages")
@@ -164,9 +182,10 @@ def _o06(spark, folder):
     return D.geometry_formulas(tokens.union(markers))
 
 
-@_add("o10_records")
+@_add("o10_records", f"""SELECT arxiv_id, eq_number AS label, equation, coalesce(meaning, '') AS meaning, CAST(cardinality(symbols) AS INTEGER) AS symbols, CAST(cardinality(relations) AS INTEGER) AS relations FROM {_LAST_RECORDS}""")
 def _o10(spark, folder):
-    return D.nested_records(table(spark, folder, "dataset")).select("arxiv_id", F.to_json("record").alias("record"))
+    each = D.nested_records(table(spark, folder, "dataset")).select("arxiv_id", F.explode("record").alias("label", "r"))
+    return each.select("arxiv_id", "label", "r.equation", "r.meaning", F.size("r.symbols").alias("symbols"), F.size("r.relations").alias("relations"))
 
 
 # ---------------------------------------------------------------- scalars
@@ -183,10 +202,10 @@ def _o13(spark, folder):
     return keyed.select(DOC, "row_id", F.row_number().over(Window.partitionBy(DOC).orderBy("_key", "row_id")).alias("place"))
 
 
-@_add("o14_clean", f"SELECT row_id, regexp_replace({_SQ('equation')}, '(\\\\(hat|vec|bar|tilde|dot|ddot)\\{{[A-Za-z]\\}})(\\d+)', '\\1_{{\\3}}', 'g') AS cleaned FROM equations WHERE NOT regexp_matches({_SQ('equation')}, '^([A-Za-z]{{2,}}[,:]?\\s+){{5,}}')")
+@_add("o14_clean", f"""SELECT row_id, CASE WHEN len(list_filter(string_split(trim(h), ' '), lambda w: w <> '')) >= 5 THEN trim(substr(c, length(h) + 1)) ELSE c END AS cleaned FROM (SELECT row_id, c, regexp_extract(c, '^(([A-Za-z]{{2,}}[,:]?\\s+)+)', 1) AS h
+      FROM (SELECT row_id, regexp_replace({_SQ('equation')}, '(\\\\(hat|vec|bar|tilde|dot|ddot)\\{{[A-Za-z]\\}})(\\d+)', '\\1_{{\\3}}', 'g') AS c FROM equations))""")
 def _o14(spark, folder):
-    rows = table(spark, folder, "equations")
-    return rows.where(~T.squash(F.col("equation")).rlike(r"^([A-Za-z]{2,}[,:]?\s+){5,}")).select("row_id", T.clean_equation(F.col("equation")).alias("cleaned"))
+    return table(spark, folder, "equations").select("row_id", T.clean_equation(F.col("equation")).alias("cleaned"))
 
 
 @_add("o15_latexify")
@@ -210,7 +229,7 @@ def _o18(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.shorten(F.col("text"), 120).alias("preview"))
 
 
-@_add("o19_scrub")
+@_add("o19_scrub", f"SELECT doc_id, {_SCRUB('text')} AS prose FROM documents")
 def _o19(spark, folder):
     return table(spark, folder, "documents").select("doc_id", T.scrub(F.col("text")).alias("prose"))
 
@@ -227,10 +246,12 @@ def _o21(spark, folder):
     return each.select("row_id", "n", T.canonical_identifier(F.col("x")).alias("identifier"))
 
 
-@_add("o22_symbol_keys")
+_KEY = reduce(lambda c, _: "regexp_replace(regexp_replace(" + c + ", '\\\\(?:" + "|".join(S.FORMATS) + ")\\s*\\{([^{}]*)\\}', '\\1', 'g'), '([_^])\\{([^{}\\\\]*)\\}', '\\1\\2', 'g')", range(4), "symbol")
+
+
+@_add("o22_symbol_keys", f"""SELECT rec_id, symbol, regexp_replace({_KEY}, '[{{}}\\\\\\s]', '', 'g') AS key FROM (SELECT rec_id, unnest(map_keys(symbols)) AS symbol FROM dataset)""")
 def _o22(spark, folder):
-    each = spread(table(spark, folder, "equations")).select("row_id", F.posexplode(S.symbols("equation")).alias("n", "symbol"))
-    return each.select("row_id", "n", "symbol", S.symbol_key(F.col("symbol")).alias("key"))
+    return table(spark, folder, "dataset").select("rec_id", F.explode(F.map_keys("symbols")).alias("symbol")).select("rec_id", "symbol", S.symbol_key(F.col("symbol")).alias("key"))
 
 
 # ---------------------------------------------------------------- predicates
@@ -241,7 +262,12 @@ def _o23(spark, folder):
     return table(spark, folder, "equations").select("row_id", T.looks_like_equation(F.col("equation")).alias("looks"))
 
 
-@_add("o24_valid_formulas")
+_MARKS = "len(regexp_extract_all(e, '[=+\\-*/^_{}\\\\∑∫√∂⟨⟩]'))"
+_LONG = "len(regexp_extract_all(e, '[A-Za-z]{4,}'))"
+_FORMULA = f"(length(e) >= 6 AND length(e) <= 1200 AND {_MARKS} >= 1 AND (contains(e, '=') OR {_MARKS} >= 3) AND {_LONG} <= 12 AND NOT regexp_matches(e, '(?i)\\b(?:figure|table|copyright|arxiv:|doi:|preprint|university)\\b'))"
+
+
+@_add("o24_valid_formulas", f"SELECT row_id, {_FORMULA} AS valid, NOT {_FORMULA} AND length(e) >= 4 AND regexp_matches(e, '[=<>≤≥\\\\^_]') AND {_LONG} <= 20 AS salvageable FROM (SELECT row_id, coalesce(equation, '') AS e FROM equations)")
 def _o24(spark, folder):
     return table(spark, folder, "equations").select("row_id", X.is_valid_formula(F.col("equation")).alias("valid"), X.salvageable(F.col("equation")).alias("salvageable"))
 
@@ -265,9 +291,8 @@ def _o27(spark, folder):
 
 @_add("o28_definitions")
 def _o28(spark, folder):
-    clean = F.udf(S.clean_definition, "string")
     each = table(spark, folder, "dataset").select("rec_id", F.explode("symbols").alias("symbol", "definition"))
-    distinct = each.select("definition").distinct().withColumn("cleaned", clean("definition"))
+    distinct = each.select("definition").distinct().withColumn("cleaned", S.clean_definitions("definition"))
     return each.join(distinct, "definition").select("rec_id", "symbol", "cleaned")
 
 
@@ -279,13 +304,20 @@ def _o29(spark, folder):
     return spread(table(spark, folder, "equations")).select("row_id", F.posexplode(S.symbols("equation")).alias("n", "symbol"))
 
 
-@_add("o30_roles")
+@_add("o30_roles", """SELECT row_id, regexp_matches(e, '\\\\partial|∂|\\\\frac\\s*\\{d') AS derivative, regexp_matches(e, '\\\\hat\\{?[XYZ]\\}?') AS pauli, regexp_matches(e, '\\\\gamma\\s*[_^]\\s*\\{?(?:\\\\mu|\\\\nu|[0-3])') AS dirac,
+      regexp_matches(e, '[_^]\\s*\\{?\\s*\\\\(?:mu|nu)') AS lorentz, regexp_matches(e, '(?:^|[^A-Za-z\\\\])[pq]\\s*\\([^)]*\\|?[^)]*\\)') AS probability, regexp_matches(e, '\\\\mathcal\\{[LD]\\}|\\\\rho.*\\\\dagger|L_?\\{?[a-z0-9]*\\}?\\s*\\\\rho') AS lindblad
+      FROM (SELECT row_id, coalesce(equation, '') AS e FROM equations)""")
 def _o30(spark, folder):
-    rows = table(spark, folder, "equations").select("row_id", F.array_join(S.index_letters(F.col("equation")), ",").alias("indices"), S.role_flags(F.col("equation")).alias("f"))
-    return rows.select("row_id", "indices", "f.*")
+    return table(spark, folder, "equations").select("row_id", S.role_flags(F.col("equation")).alias("f")).select("row_id", "f.*")
+
+
+@_add("o30_letters")
+def _o30l(spark, folder):
+    return spread(table(spark, folder, "equations").select("row_id", "equation")).select("row_id", F.explode(S.roles("equation")).alias("letter", "role"))
 
 
-@_add("o31_sentences")
+@_add("o31_sentences", "SELECT row_id, kind, CAST(k - 1 AS INTEGER) AS n, sentence FROM (" + " UNION ALL ".join(
+    f"SELECT row_id, '{kind}' AS kind, generate_subscripts(l, 1) AS k, unnest(l) AS sentence FROM (SELECT row_id, {cut('text_before')} AS l FROM equations)" for kind, cut in (("phrase", _PHRASES), ("reference", _REFERRING), ("clause", _CLAUSES))) + ")")
 def _o31(spark, folder):
     rows = table(spark, folder, "equations")
     kinds = F.array(F.struct(F.lit("phrase").alias("kind"), T.sentences(F.col("text_before")).alias("s")), F.struct(F.lit("reference").alias("kind"), T.reference_sentences(F.col("text_before")).alias("s")), F.struct(F.lit("clause").alias("kind"), T.clauses(F.col("text_before")).alias("s")))
@@ -340,7 +372,12 @@ def _o40(spark, folder):
     return R.missing_edges(nodes, table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
 
 
-@_add("o40_missing_counts")
+_LABELS = "(SELECT DISTINCT arxiv_id, eq_number FROM " + _RECORDS.replace(" WHERE place <= 7", "") + ")"
+_ENDS = f"(SELECT DISTINCT r.arxiv_id, src, dst FROM relations r JOIN {_LABELS} a ON r.arxiv_id = a.arxiv_id AND r.src = a.eq_number JOIN {_LABELS} b ON r.arxiv_id = b.arxiv_id AND r.dst = b.eq_number WHERE src <> dst)"
+
+
+@_add("o40_missing_counts", f"""SELECT l.arxiv_id, l.eq_number, n - 1 - coalesce(o.c, 0) AS missing_out, n - 1 - coalesce(i.c, 0) AS missing_in FROM {_LABELS} l JOIN (SELECT arxiv_id, count(*) AS n FROM {_LABELS} GROUP BY 1) USING (arxiv_id)
+      LEFT JOIN (SELECT arxiv_id, src AS eq_number, count(*) AS c FROM {_ENDS} GROUP BY 1, 2) o USING (arxiv_id, eq_number) LEFT JOIN (SELECT arxiv_id, dst AS eq_number, count(*) AS c FROM {_ENDS} GROUP BY 1, 2) i USING (arxiv_id, eq_number)""")
 def _o40c(spark, folder):
     first = R.first_by_label(table(spark, folder, "dataset"), DOC, LABEL, ["rec_id"])
     return R.missing_counts(first, table(spark, folder, "relations"), DOC, LABEL, "src", "dst")
@@ -364,11 +401,30 @@ def _o43(spark, folder):
     return R.set_quality(_top(spark, folder), DOC, "place")
 
 
-@_add("o44_status", f"""SELECT arxiv_id, CAST(count(*) AS INTEGER) AS equation_count, string_agg({_N}, '|' ORDER BY {_ORDER}) AS labels, coalesce(sum(CASE WHEN {_NOISY} THEN 1 ELSE 0 END) > 0, false) AS noisy FROM {_FIRST} GROUP BY 1""")
+def _sources(spark, folder):
+    """A document's formulas from PDF and from HTML, each with their place."""
+    rows = _extracted(spark, folder).withColumn("_key", L.label_key(F.col(LABEL))).withColumn("document", F.col(DOC))
+    return tuple(R.top_k(rows.where(c), "document", ["_key", "row_id"]).drop("_key") for c in (F.col("equation_order_source") == "pdf", F.col("equation_order_source") == "html"))
+
+
+@_add("o43_set_similarity")
+def _o43s(spark, folder):
+    pdf, html = _sources(spark, folder)
+    return M.set_similarity(pdf, html)
+
+
+@_add("o43_arbitrate")
+def _o43a(spark, folder):
+    pdf, html = _sources(spark, folder)
+    judged = [R.set_quality(x, "document", "place").join(x.groupBy("document").agg(F.sum(M.garbled(F.col("equation")).cast("int")).alias("garbled")), "document") for x in (pdf, html)]
+    return M.arbitrate(*judged, M.set_similarity(pdf, html).drop("pairs"))
+
+
+@_add("o44_status", f"""SELECT arxiv_id, CAST(count(*) AS INTEGER) AS equation_count, string_agg({_N}, '|' ORDER BY {_ORDER}) AS labels, coalesce(sum(CASE WHEN {_NOISY} THEN 1 ELSE 0 END) > 0, false) AS noisy, coalesce(sum(CASE WHEN trim(coalesce(equation, '')) = '' THEN 1 ELSE 0 END) > 0, false) AS empty FROM {_FIRST} GROUP BY 1""")
 def _o44(spark, folder):
     keyed = _extracted(spark, folder).withColumn("_key", L.label_key(F.col(LABEL)))
     status = R.document_status(keyed, DOC, LABEL, "equation", ["_key", "row_id"])
-    return status.select(DOC, "equation_count", F.array_join("labels", "|").alias("labels"), F.array_contains("findings", "noisy equation").alias("noisy"))
+    return status.select(DOC, "equation_count", F.array_join("labels", "|").alias("labels"), F.array_contains("findings", "noisy equation").alias("noisy"), F.array_contains("findings", "empty equation").alias("empty"))
 
 
 @_add("o45_prefix", f"""SELECT arxiv_id, list_aggregate(b, 'string_agg', '|') = CASE WHEN contains(b[1], '.') THEN list_aggregate(list_transform(range(1, len(b) + 1), lambda x: regexp_replace(b[1], '\\.[^.]*$', '') || '.' || x), 'string_agg', '|')
@@ -410,6 +466,13 @@ def _o49(spark, folder):
     return R.numbering_gaps(table(spark, folder, "equations"), DOC, LABEL)
 
 
+@_add("o49_recovered")
+def _o49h(spark, folder):
+    # labels of formulas of low confidence are hidden, and found again where they make a gap
+    hidden = _extracted(spark, folder).withColumn(LABEL, F.when(F.col("equation_confidence") == "low", "").otherwise(F.col(LABEL)))
+    return D.parse_html(spread(_pages(hidden)), k=1_000_000).select("document", LABEL, "equation", "section")
+
+
 @_add("o49_renumber", f"""SELECT row_id, CASE WHEN fix THEN CAST(k AS VARCHAR) ELSE eq_number END AS new_label FROM (SELECT *, w = 1 AND lo = 1 AND hi > ds AS fix, row_number() OVER (PARTITION BY arxiv_id ORDER BY row_id) AS k FROM (SELECT *, min(CASE WHEN n IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY arxiv_id) AS w,
       min(n) OVER (PARTITION BY arxiv_id) AS lo, max(n) OVER (PARTITION BY arxiv_id) AS hi, count(DISTINCT n) OVER (PARTITION BY arxiv_id) AS ds FROM (SELECT *, CASE WHEN regexp_full_match({_N}, '[+-]?\\d+') THEN try_cast({_N} AS INTEGER) END AS n FROM {_FIRST}))) WHERE NOT coalesce(fix, false) OR k <= 7""")
 def _o49r(spark, folder):
@@ -428,7 +491,15 @@ def _o51(spark, folder):
     return R.neighbours(table(spark, folder, "equations"), DOC, ["row_id"], "equation").select("row_id", "above", "below")
 
 
-@_add("o52_ranked_sentences")
+_HINT = "(?i)\\b(?:defined as|given by|written as|expressed as|called|known as|denoted by|we define|we introduce|takes the form|is described by|are described by|reads?|can be written|can be expressed)\\b|\\bwhere\\b.{0,90}\\bdenotes?\\b|:\\s*$"
+
+
+@_add("o52_ranked_sentences", f"""SELECT row_id, side, distance, sentence, rank, place FROM (SELECT *, CAST(row_number() OVER (PARTITION BY row_id ORDER BY rank DESC, distance, CASE WHEN side = 'before' THEN 0 ELSE 1 END) AS INTEGER) AS place FROM (SELECT row_id, side, CAST(k - 1 AS INTEGER) AS distance, sentence,
+      round(greatest(0.0, 1.0 - 0.25 * (k - 1)) + CASE WHEN regexp_matches(sentence, '{_HINT}') THEN 1.0 ELSE 0.0 END + CASE WHEN regexp_matches(sentence, ':\\s*$') THEN 0.45 ELSE 0.0 END
+      + CASE WHEN regexp_matches(sentence, '(?i)\\b(?:equation|relation|function|operator|matrix|state|rule)\\b') THEN 0.15 ELSE 0.0 END + CASE WHEN side = 'before' THEN 0.1 ELSE 0.0 END
+      - CASE WHEN regexp_matches(sentence, '(?i)\\b(?:figure|fig\\.|table|tab\\.|appendix|app\\.|copyright|license|email|affiliation|doi|arxiv|section|sect\\.)\\b') THEN 0.8 ELSE 0.0 END - CASE WHEN regexp_matches(sentence, '(?i)\\b(?:eqs?|refs?|sections?)\\.?\\s*\\(?\\d') THEN 0.25 ELSE 0.0 END, 3) AS rank
+      FROM (SELECT row_id, side, generate_subscripts(l, 1) AS k, unnest(l) AS sentence FROM (SELECT row_id, 'before' AS side, list_reverse({_PHRASES('text_before')})[1:5] AS l FROM equations UNION ALL SELECT row_id, 'after', ({_PHRASES('text_after')})[1:5] FROM equations))
+      WHERE NOT (regexp_matches(sentence, '(?i)\\b(?:patents?|copyright|licen[sc]e|all rights reserved|arxiv:|doi:|e-?mail|affiliation)\\b') OR len(regexp_extract_all(sentence, '\\b[A-Z]{{3,}}\\b')) >= 4))) WHERE place <= 5""")
 def _o52(spark, folder):
     return R.rank_sentences(table(spark, folder, "equations"), ["row_id"], "text_before", "text_after").select("row_id", "side", "distance", "sentence", "rank", "place")
 
@@ -445,19 +516,25 @@ def _o54(spark, folder):
     return R.rerank_by_embedding(table(spark, folder, "candidates"), DOC, LABEL).select(DOC, LABEL, "cand_id")
 
 
-@_add("o54_similar_vectors")
+@_add("o54_similar_vectors", """SELECT a, b, similarity FROM (SELECT a, b, similarity, row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) AS r FROM (SELECT q.vec_id AS a, e.vec_id AS b, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))
+      / (sqrt(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))), 6) AS similarity
+      FROM embeddings q, embeddings e WHERE q.vec_id % 20 = 0 AND q.vec_id <> e.vec_id)) WHERE r <= 3""")
 def _o54v(spark, folder):
     rows = table(spark, folder, "embeddings")
     asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("a"), F.col("embedding").alias("v"))
     return R.nearest(asked, rows.select(F.col("vec_id").alias("b"), F.col("embedding").alias("w")), k=3)
 
 
-@_add("o55_inherit", """SELECT s.rec_id, s.symbol, coalesce(nullif(trim(s.definition), ''), f.own, '') AS definition FROM (SELECT rec_id, arxiv_id, k AS symbol, symbols[k] AS definition FROM (SELECT rec_id, arxiv_id, symbols, unnest(map_keys(symbols)) AS k FROM dataset)) s LEFT JOIN
-      (SELECT arxiv_id, k AS symbol, min_by(trim(symbols[k]), rec_id) AS own FROM (SELECT rec_id, arxiv_id, symbols, unnest(map_keys(symbols)) AS k FROM dataset) WHERE trim(symbols[k]) <> '' AND trim(symbols[k]) NOT IN ('summation index', 'differential variable', 'Lorentz index', 'time', 'imaginary unit', 'Pauli matrix', 'Dirac gamma matrix', 'probability distribution')
-      GROUP BY 1, 2) f ON s.arxiv_id = f.arxiv_id AND s.symbol = f.symbol WHERE NOT contains(s.symbol, '_')""")
+_EACH = "(SELECT rec_id, arxiv_id, k AS symbol, coalesce(trim(symbols[k]), '') AS definition FROM (SELECT rec_id, arxiv_id, symbols, unnest(map_keys(symbols)) AS k FROM dataset))"
+_OWN = f"""(SELECT arxiv_id, symbol, min_by(definition, rec_id) AS own FROM {_EACH} WHERE definition NOT IN ('', 'summation index', 'differential variable', 'Lorentz index', 'time', 'imaginary unit', 'Pauli matrix', 'Dirac gamma matrix', 'probability distribution')
+      AND NOT regexp_matches(definition, '(?i)\\b(?:of|between|in|with) (?:eq|the (?:above|previous))\\b') GROUP BY 1, 2)"""
+
+
+@_add("o55_inherit", f"""SELECT s.rec_id, s.symbol, coalesce(nullif(s.definition, ''), f.own, g.own, '') AS definition FROM {_EACH} s LEFT JOIN {_OWN} f ON s.arxiv_id = f.arxiv_id AND s.symbol = f.symbol
+      LEFT JOIN {_OWN} g ON s.arxiv_id = g.arxiv_id AND nullif(regexp_extract(s.symbol, '^(.+)_[A-Za-z0-9]{{1,4}}$', 1), '') = g.symbol AND regexp_matches(lower(g.own), '(?:operator|matrix|state|function|hamiltonian|tensor|vector|field|parameter|density|energy|frequency|part)s?$')""")
 def _o55(spark, folder):
     each = table(spark, folder, "dataset").select("rec_id", DOC, F.explode("symbols").alias("symbol", "definition"))
-    return R.inherit_definitions(each, DOC, ["rec_id"]).where(~F.col("symbol").contains("_")).select("rec_id", "symbol", "definition")
+    return R.inherit_definitions(each, DOC, ["rec_id"]).select("rec_id", "symbol", "definition")
 
 
 # ---------------------------------------------------------------- relations, meaning, provenance
@@ -492,21 +569,35 @@ def _o57(spark, folder):
     return table(spark, folder, "equations").select("row_id", T.equation_role(F.col("equation"), F.col("text_before"), F.col("text_after"), F.col("section")).alias("role"))
 
 
+@_add("o57_cues")
+def _o57c(spark, folder):
+    return E.cue_candidates(table(spark, folder, "equations"), ["row_id"]).where(T.valid_phrase(F.col("phrase")))
+
+
+@_add("o57_meaning")
+def _o57m(spark, folder):
+    return E.meanings(spread(_extracted(spark, folder)), ["row_id"], DOC).drop(DOC)
+
+
 @_add("o58_trails", """SELECT rec_id, k AS method, len(audit_trail[k]) AS lines FROM (SELECT rec_id, audit_trail, unnest(map_keys(audit_trail)) AS k FROM dataset)""")
 def _o58(spark, folder):
     each = table(spark, folder, "dataset").select("rec_id", F.explode("audit_trail").alias("method", "v"))
     return each.select("rec_id", "method", F.size("v").cast("long").alias("lines"))
 
 
-@_add("o58_built_trails")
+@_add("o58_built_trails", f"""SELECT row_id, 'extract_symbol_identifiers' AS method, CAST(len(identifier_candidates) AS INTEGER) AS lines, 'found ' || identifier_candidates[1] AS first FROM equations WHERE len(identifier_candidates) > 0
+      UNION ALL SELECT row_id, CASE WHEN equation_order_source = 'html' THEN 'parse_html' ELSE 'parse_pdf' END, 1, 'label (' || eq_number || ')' FROM equations
+      UNION ALL SELECT row_id, 'extract_meaning', 1, CASE WHEN coalesce(section, '') = '' THEN 'no meaning extracted' WHEN length({_SQ('section')}) <= 220 THEN {_SQ('section')} ELSE rtrim(left({_SQ('section')}, 217)) || '...' END FROM equations""")
 def _o58t(spark, folder):
-    rows = table(spark, folder, "equations").select("row_id", F.to_json(P.trail(F.col("equation_order_source"), F.col(LABEL), F.col("identifier_candidates"), F.col("section"))).alias("trail"))
-    return rows
+    rows = table(spark, folder, "equations").select("row_id", F.explode(P.trail(F.col("equation_order_source"), F.col(LABEL), F.col("identifier_candidates"), F.col("section"))).alias("method", "l"))
+    return rows.select("row_id", "method", F.size("l").alias("lines"), F.get("l", F.lit(0)).alias("first"))
 
 
-@_add("o58_trail_problems", """SELECT rec_id, len(list_filter(map_keys(audit_trail), lambda k: k NOT IN (""" + ", ".join(f"'{m}'" for m in P.METHODS) + """))) > 0 AS unknown_method FROM dataset""")
+@_add("o58_trail_problems", """SELECT rec_id, len(list_filter(map_keys(audit_trail), lambda k: k NOT IN (""" + ", ".join(f"'{m}'" for m in P.METHODS) + """))) > 0 AS unknown_method, len(list_filter(map_values(audit_trail), lambda v: len(v) = 0)) > 0 AS empty_entry,
+      len(list_filter(flatten(map_values(audit_trail)), lambda x: length(x) > 400)) > 0 AS long_line FROM dataset""")
 def _o58p(spark, folder):
-    return table(spark, folder, "dataset").select("rec_id", F.array_contains(P.trail_problems(F.col("audit_trail")), "unknown method").alias("unknown_method"))
+    rows = table(spark, folder, "dataset").select("rec_id", P.trail_problems(F.col("audit_trail")).alias("p"))
+    return rows.select("rec_id", *(F.array_contains("p", x).alias(x.replace(" ", "_")) for x in ("unknown method", "empty entry", "long line")))
 
 
 @_add("o58_violations", """SELECT rec_id, problem FROM (SELECT rec_id, unnest(list_filter([CASE WHEN coalesce(trim(equation), '') = '' THEN 'empty equation' END, CASE WHEN len(list_filter(map_values(relations), lambda r: coalesce(r.grade, '') NOT IN ('none', 'strong', 'potential'))) > 0 THEN 'unknown grade' END,

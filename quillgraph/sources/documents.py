@@ -130,12 +130,27 @@ def html_events(html: str) -> list[dict]:
     return page.events
 
 
-def parse_html(pages: DataFrame, k: int = R.PER_DOCUMENT) -> DataFrame:
+def recover_labels(found: DataFrame) -> DataFrame:
+    """``found(document, ord, eq_number, ...)`` with labels for unlabelled formulas that stand in a gap of the numbering.
+
+    A gap takes as many as it misses, in their order; the gap ahead of the first label takes the last ones before it.
+    """
+    number = L.base_label(F.col("eq_number")).try_cast("int")
+    before = Window.partitionBy("document").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    placed = found.withColumn("_last", F.coalesce(F.last(number, ignorenulls=True).over(before), F.lit(0)))
+    gaps = R.numbering_gaps(found.where("eq_number <> ''"), "document", "eq_number")
+    lone = placed.where("eq_number = ''").select("document", F.col("ord").alias("position"), F.col("_last").alias("after_number"))
+    named = R.recover_gaps(gaps, lone, "document").select("document", F.col("position").alias("ord"), F.col("number").cast("string").alias("_new"))
+    return placed.join(named, ["document", "ord"], "left").withColumn("eq_number", F.coalesce("_new", "eq_number")).drop("_new", "_last")
+
+
+def parse_html(pages: DataFrame, k: int = R.PER_DOCUMENT, recover: bool = True) -> DataFrame:
     """Numbered formulas of pages ``(document, html)``: the first ``k`` labels in natural order, first of each label.
 
     Returns ``(document, eq_number, ord, equation, text_before, text_after, section, identifier_candidates, table_id)``.
     Rows of a table belong to the label among them; unlabelled rows continue the label above or, ahead of the first
-    label, the one below. Null pages give nothing.
+    label, the one below. Formulas without a label that stand in a gap of the numbering get the missing labels unless
+    ``recover`` is off. Null pages give nothing.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["document", "ord", "label", "pieces", "names", "before", "after", "section", "table_id"]
@@ -170,6 +185,7 @@ def parse_html(pages: DataFrame, k: int = R.PER_DOCUMENT) -> DataFrame:
                         F.regexp_replace(math, r" ?= ?", "=").alias("equation"), F.col("before").alias("text_before"), F.col("after").alias("text_after"), "section",
                         F.array_distinct(F.filter(F.transform("names", T.canonical_identifier), lambda x: x != "")).alias("identifier_candidates"), "table_id")
     kept = found.where(T.looks_like_equation(F.col("equation")))
+    kept = recover_labels(kept) if recover else kept
     first = R.first_by_label(kept, "document", "eq_number", ["ord"])
     keyed = first.withColumn("eq_number", L.normalize_label(F.col("eq_number"))).withColumn("_key", L.label_key(F.col("eq_number")))
     body = R.prefer_main_body(keyed, "document", F.lower(F.col("section")).rlike("^appendix"))
@@ -295,5 +311,5 @@ def nested_records(records: DataFrame) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Nested records as JSON lines, one document per line, UTF-8."""
-    df.select("arxiv_id", F.to_json("record").alias("record")).select(F.to_json(F.struct("arxiv_id", F.from_json("record", "map<string,string>").alias("record"))).alias("value")).write.mode("overwrite").text(path)
+    """Nested records as JSON lines, UTF-8: one document per line, an object of label to record objects."""
+    df.select(F.to_json(F.struct("arxiv_id", "record")).alias("value")).write.mode("overwrite").text(path)
