@@ -35,11 +35,16 @@ TIER_CUE, TIER_SYMBOL = 1, 3
 
 def clean_phrase(c: Column) -> Column:
     """A phrase without an article ahead or signs at its ends."""
-    return F.trim(F.regexp_replace(F.regexp_replace(T.squash(c), r"(?i)^(?:the|a|an)\s+", ""), r"^[\s.,;:()]+|[\s.,;:()]+$", ""))
+    plain = F.regexp_replace(F.regexp_replace(T.squash(c), r"(?i)^(?:the|a|an)\s+", ""), r"(?<![\w/-])\d+(?:/\d+)?(?![\w/-])", " ")
+    return F.regexp_replace(T.squash(plain), r"^[\s.,;:()]+|[\s.,;:()/-]+$", "")
 
 
 def cue_candidates(df: DataFrame, keys: list[str], before: str = "text_before", after: str = "text_after") -> DataFrame:
-    """``(keys, phrase, stage, tier, distance, evidence)`` of the phrases that cues in the best sentences define."""
+    """``(keys, phrase, stage, tier, distance, evidence)`` of the phrases that cues in the best sentences define.
+
+    Phrases are as long as they can be, so one that runs into the cue's own verb (*the gap is given by*) holds it and is
+    no valid phrase later on.
+    """
     sentences = R.rank_sentences(df, keys, before, after)
     each = F.flatten(F.array(*(F.transform(F.regexp_extract_all("sentence", F.lit(p), 1), lambda x, name=name: F.struct(F.lit(name).alias("cue"), x.alias("raw"))) for name, p in CUES)))
     found = sentences.select(*keys, "distance", F.explode(each).alias("x")).select(*keys, "distance", "x.cue", clean_phrase(F.col("x.raw")).alias("phrase"))

@@ -105,10 +105,11 @@ _VALID = f"""(NOT (list_has_any({_PARTS}, [{', '.join(f"'{w}'" for w in T._CLAUS
       OR regexp_matches(coalesce(phrase, ''), '[^A-Za-z0-9 ''\\-/]') OR length(regexp_replace(coalesce(phrase, ''), '[^A-Za-z]', '', 'g')) < 3 OR len({_WORDS}) > {T.MOST_WORDS}
       OR (len({_WORDS}) >= 2 AND len(list_filter({_WORDS}, lambda w: length(w) <= 2)) * 2 > len({_WORDS}))) AND (len({_WORDS}) >= 2 OR {_NAMED}))"""
 
-# sentences
+# Sentences. SQL's word borders know ASCII letters only, so other letters beside them become an
+# underscore, which the scrub takes out as it does them.
 _SCRUB = lambda c: "trim(regexp_replace(" + reduce(lambda x, p: f"regexp_replace({x}, '{p}', ' ', 'g')", (
     "(?i)\\b(?:ket|bra|langle|rangle|otimes|oplus|ominus|odot|dagger|mathrm|mathcal|mathbb|mathbf|mathfrak|mathsf|hat|vec|tilde|overline|underline|overrightarrow|boldsymbol)\\b",
-    "\\b[A-Z]\\S{1,25}(?:\\s+\\S{1,15})?\\s+et[\\s\\x{a0}]+al\\.?\\s*\\(\\s*\\d{4}[^)]*\\)", "[^\\x00-\\x7f]+", "\\[[^\\]]{0,30}\\]", "[{}_^\\\\]", "\\b(?:[A-Za-z]\\s+){2,}[A-Za-z]\\b"), f"coalesce({c}, '')") + ", '\\s+', ' ', 'g'))"
+    "\\b[A-Z]\\S{1,25}(?:\\s+\\S{1,15})?\\s+et[\\s\\x{a0}]+al\\.?\\s*\\(\\s*\\d{4}[^)]*\\)", "[^\\x00-\\x7f]+", "\\[[^\\]]{0,30}\\]", "[{}_^\\\\]", "\\b(?:[A-Za-z]\\s+){2,}[A-Za-z]\\b"), f"regexp_replace(regexp_replace(coalesce({c}, ''), '[^\\P{{L}}A-Za-z]([A-Za-z])', '_\\1', 'g'), '([A-Za-z])[^\\P{{L}}A-Za-z]', '\\1_', 'g')") + ", '\\s+', ' ', 'g'))"
 _CUT = lambda c, stops: f"list_filter(list_transform(string_split(regexp_replace({c}, '([{stops}])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '')"
 _PHRASES = lambda c: _CUT(_SCRUB(c), ".!?;:")
 def _REFERRING(c):

@@ -36,6 +36,14 @@ def test_html(spark):
     assert got[0].equation.startswith("\\\\psi=a + b=c + d") and got[0].text_before == "We write" and got[0].text_after == "where a is" and got[0].identifier_candidates == ["psi"]
 
 
+def test_labels_are_recovered(spark):
+    row_ = lambda n, label: f"<table>{row(n, f'x_{{{n}}} = y_{{{n}}} + z', label)}</table><p>then</p>"
+    page = row_(1, "") + row_(2, "2") + row_(3, "") + row_(4, "") + row_(5, "5") + row_(6, "")
+    got = D.parse_html(spark.createDataFrame([("d", page), ("e", row_(1, "") + row_(2, ""))], "document string, html string")).orderBy("place").collect()
+    assert [(r.document, r.eq_number, r.equation[:5]) for r in got] == [("d", "1", "x_{1}"), ("d", "2", "x_{2}"), ("d", "3", "x_{3}"), ("d", "4", "x_{4}"), ("d", "5", "x_{5}")]
+    assert D.parse_html(spark.createDataFrame([("d", page)], "document string, html string"), recover=False).count() == 2
+
+
 def test_markdown(spark):
     text = "# One\n$$x_1 = \\frac{a}{b} \\tag{2}$$\nwords\n\\[y^2 = z + 1 \\tag{1}\\]\nE = m c^2 + k  (3)\n"
     got = D.markdown_formulas(spark.createDataFrame([("d", text), ("e", None), ("f", "")], "document string, text string")).orderBy("place").collect()
@@ -59,7 +67,7 @@ def test_records(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "1", "old", None, {}, {}, {}), (2, "a", "1", "é", "m", {"x": ""}, {}, {})], schema)
     D.write_json(D.nested_records(df), str(tmp_path / "out"))
     lines = [json.loads(x) for p in (tmp_path / "out").glob("part-*") for x in p.read_text().splitlines()]
-    assert len(lines) == 1 and json.loads(lines[0]["record"]["1"])["equation"] == "é"
+    assert len(lines) == 1 and lines[0]["arxiv_id"] == "a" and lines[0]["record"]["1"] == {"equation": "é", "meaning": "m", "symbols": {"x": ""}, "relations": {}, "audit-trail": {}}
 
 
 def test_stream(spark, tmp_path):
