@@ -46,7 +46,8 @@ def cue_candidates(df: DataFrame, keys: list[str], before: str = "text_before",
     no valid phrase later on.
     """
     sentences = R.rank_sentences(df, keys, before, after)
-    each = F.flatten(F.array(*(F.transform(F.regexp_extract_all("sentence", F.lit(p), 1), lambda x, name=name: F.struct(F.lit(name).alias("cue"), x.alias("raw"))) for name, p in CUES)))
+    raw = lambda name, pattern: F.transform(F.regexp_extract_all("sentence", F.lit(pattern), 1), lambda x: F.struct(F.lit(name).alias("cue"), x.alias("raw")))
+    each = F.flatten(F.array(*(raw(*cue) for cue in CUES)))
     found = sentences.select(*keys, "distance", F.explode(each).alias("x")).select(*keys, "distance", "x.cue", clean_phrase(F.col("x.raw")).alias("phrase"))
     return found.where("phrase <> ''").select(
         *keys, "phrase", F.lit("definiendum (regex cue)").alias("stage"), F.lit(TIER_CUE).alias("tier"), "distance", F.concat("cue", F.lit(": "), "phrase").alias("evidence"))
