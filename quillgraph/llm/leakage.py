@@ -32,19 +32,25 @@ _BROKEN = re.compile(r"(?<=\w)[-¬­‐]\s*\n\s*(?=\w)")
 
 def words(text: str) -> list[str]:
     """Tokens that case, punctuation, blanks, layout and look-alike letters leave alone."""
-    text = _BROKEN.sub("", text)
+    if "\n" in text:
+        text = _BROKEN.sub("", text)
     return _WORD.findall(text.lower() if text.isascii() else normal_text(text))
 
 
+class _Known(dict):
+    """64-bit hashes of words, each made once."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 def token_hashes(tokens: list[str], known: dict[str, int] | None = None) -> np.ndarray:
     """64-bit hashes of tokens; ``known`` keeps those met before."""
-    import xxhash
-
-    known = {} if known is None else known
-    for w in tokens:
-        if w not in known:
-            known[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter((known[w] for w in tokens), np.uint64, len(tokens))
+    known = _Known() if known is None else known
+    return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
 
 
 def rolling(tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,19 +120,27 @@ def _seeds(texts: DataFrame, key: str, text: str, sizes: list[int] | None = None
     of tokens. With them it has seeds of all these sizes, those that the filter ``wanted`` lets through.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
+        known = _Known()
         for batch in batches:
-            parts = []
             if len(known) > 500_000:
                 known.clear()
-            for k, t in zip(batch[key], batch[text]):
-                tokens = token_hashes(words(t), known)
-                for size in sizes or ([min(SEED, len(tokens))] if len(tokens) else []):
-                    h, g = rolling(tokens, size)
-                    at = np.flatnonzero(wanted.value.mask(h)) if wanted else np.arange(len(h))
-                    if len(at):
-                        parts.append((np.full(len(at), k, np.int64), at, h[at].view(np.int64), g[at].view(np.int64), np.full(len(at), size if sizes else len(tokens))))
-            columns = [np.concatenate(x) for x in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+            read = [words(t) for t in batch[text]]
+            lengths = np.fromiter(map(len, read), np.int64, len(read))
+            tokens = token_hashes([w for r in read for w in r], known)
+            # all texts of a batch in one row of tokens: windows across two texts are left out
+            owner, first = np.repeat(np.arange(len(read)), lengths), np.cumsum(lengths) - lengths
+            parts = []
+            for size in sizes or range(1, SEED + 1):
+                h, g = rolling(tokens, size)
+                kept = owner[: len(h)] == owner[size - 1 :]
+                if not sizes:  # a text's own seeds: of SEED tokens, or of all it has
+                    kept &= np.minimum(lengths, SEED)[owner[: len(h)]] == size
+                at = np.flatnonzero(kept)
+                if wanted:
+                    at = at[wanted.value.mask(h[at])]
+                whose = owner[at]
+                parts.append((batch[key].to_numpy()[whose], at - first[whose], h[at].view(np.int64), g[at].view(np.int64), np.full(len(at), size) if sizes else lengths[whose]))
+            columns = [np.concatenate(x) for x in zip(*parts)]
             yield pd.DataFrame(dict(zip((key, "at", "h", "g", "size"), columns)))
 
     return spread(texts.select(key, text).where(F.col(text) != "").dropna()).mapInPandas(run, f"{key} long, at int, h long, g long, size int")
