@@ -57,6 +57,13 @@ _PHONE = re.compile(
     r"|[2-9]\d{2}([-.])\d{3}\1\d{4}"
     r")(?:,? ?(?:ext\.?|x|Durchwahl|poste) ?\d{1,5})?(?![\w/]|[.-]\d)"
 )
+#: Plain searches without which none of the longer patterns can match.
+_MAYBE_EMAIL = re.compile(r"[@＠]|[\[({<]\s?(?:at|AT|arroba|chez|ät)\s?[\])}>]| (?:AT|arroba) | at [A-Za-z0-9-]+(?:\.|\s?[\[({<]| (?:DOT|dot|punto) )")
+_MAYBE_STREET = re.compile(
+    r"(?:Lane|Road|Street|Avenue|Ave|Way|Drive|Close|Court|Place|Square|Row|Terrace|Gardens|Crescent|Boulevard|Blvd|Rd|St|Ln)\b|\d ?(?:bis|ter|[a-z])?,? (?:rue|avenue|boulevard|place|chemin|allée|quai|impasse|route|cours) "
+    r"|(?:Am|An der|An den|Auf dem|Auf der|Im|In der|Zum|Zur|Unter den) [^\W\d_]|(?:weg|straße|strasse|str\.|gasse|platz|allee|ring|damm|ufer|steig|stieg|pfad|markt) \d"
+    r"|(?:alle|venida|vda\.|laza|aseo|amino|C/|Via|iale|iazza) |(?:ул\.|улица|пр\.|проспект|пер\.|наб\.) ")
+_MAYBE_ID = re.compile(r"\d(?:[\dA-Z .-]{3,}[\dA-Z]|[\dA-Za-z.-]{4,})")
 _NAME_WORD = rf"[{_U}](?:[{_L}]+|[{_U}'’-][{_L}]+)(?:[-'’][{_U}]?[{_L}]+)*"
 _STREET = re.compile(
     rf"(?<![\w/-])(?:(?:Flat|Apt\.?|Apartment|Unit|Suite) \d+[A-Za-z]?,?\s)?\d{{1,4}}[A-Za-z]?,? (?:{_NAME_WORD} ){{1,3}}"
@@ -84,6 +91,7 @@ _RUN = re.compile(
     rf"|(?:[{_U}]\.[ -]?){{1,3}}(?:{_PARTICLE} )?{_PIECE}(?: {_PIECE})?"  # initials and surname
     rf"|{_PIECE}(?: (?:[{_U}]\.|{_PARTICLE}|{_PIECE}))*)(?![\w'’^{{]|_)")
 _WORD = re.compile(r"[^\W\d_]+")
+_BLANK, _FIRST_PIECE, _PIECES = re.compile(r"[\s,]|\.(?=.)"), re.compile(r"[^\s,]+"), re.compile(rf"[{_U}]\.|[^\s,]+")
 _TITLE = re.compile(r"\b(?:Dr|Prof|Mr|Mrs|Ms|Mme|M|Herr|Frau|Sr|Sra|Hr|Fr)\.?\s*$")
 
 
@@ -101,7 +109,7 @@ def word_uses(texts: DataFrame, text: str = "text") -> DataFrame:
         r"(?:(?:[.!?…»“”\"|]\s+|\n))?(?<![\p{L}\p{N}._+@=\\-])\p{L}{2,}(?![\p{L}\p{N}_+@]|\.\p{L}|-\p{L}*[@ ]?(?:@|AT |\[at|\(at)|\s?(?:@|AT |[\[(]at))")
     initial = F.regexp_replace(F.concat(F.lit("\n"), F.col(text)), r"\b(\p{Lu}|Dr|Prof|Mr|Mrs|Sra?|Mme|M)\. ", "$1, ")  # no sentence ends there
     listed = texts.select(F.regexp_extract_all(initial, F.lit(word), 0).alias("x")).where(F.size("x") > 0)
-    plain = F.transform("x", lambda x: F.regexp_replace(x, r"^\P{L}+", ""))
+    plain = F.transform("x", lambda x: F.when(x.rlike(r"^\p{L}"), x).otherwise(F.regexp_replace(x, r"^\P{L}+", "")))
     listed = listed.select("x", plain.alias("w"), F.transform(plain, lambda x: F.lower(x)).alias("l"))
     at = lambda k: F.coalesce(F.get("l", k), F.lit(""))
     each = F.transform("w", lambda w, k: F.struct(
@@ -143,15 +151,15 @@ def _spans(text: str, ordinary, label=lambda w: False) -> list[tuple[int, int, s
         if free(a, b):
             taken.append((a, b, kind))
 
-    if "@" in text or "at" in text or "AT" in text or "＠" in text or "arroba" in text:
+    if _MAYBE_EMAIL.search(text):
         for m in _EMAIL.finditer(text):
             add(m.start(), m.end(), "email")
-    for m in _STREET.finditer(text):
+    for m in _STREET.finditer(text) if _MAYBE_STREET.search(text) else ():
         rest = _REST.match(text, m.end())
         add(m.start(), rest.end() if rest else m.end(), "address")
     for m in _ID.finditer(text):
         add(m.start(), m.end(), "id_number")
-    for m in _ID_WORD.finditer(text):
+    for m in _ID_WORD.finditer(text) if _MAYBE_ID.search(text) else ():
         if sum(c.isdigit() for c in m[1]) >= 5:
             add(m.start(1), m.end(1), "id_number")
     for m in _PHONE.finditer(text):
@@ -166,11 +174,13 @@ def _names(text: str, ordinary, label, taken) -> Iterator[tuple[int, int]]:
     position = 0
     while m := _RUN.search(text, position):
         position = m.end()
-        first = re.match(r"[^\s,]+", m.group())
+        if not _BLANK.search(m.group()) and not _TITLE.search(text, max(0, m.start() - 12), m.start()):
+            continue  # one word is a name after a title only
+        first = _FIRST_PIECE.match(m.group())
         if first.end() < len(m.group()) and all(len(x) == 1 or known(x) for x in _word_parts(first.group())) and len(first.group()) > 2:
             position = m.start() + first.end()  # the run may start at its next word
             continue
-        pieces = [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(rf"[{_U}]\.|[^\s,]+", m.group())]
+        pieces = [(m.start() + p.start(), m.start() + p.end()) for p in _PIECES.finditer(m.group())]
         pieces = [(a, b) for a, b in pieces if all(b <= x or a >= y for x, y, _ in taken)]
         # leave out ordinary words, titles and labels at either end
         is_name = []
