@@ -251,21 +251,21 @@ def cluster_rows(tokens: DataFrame, tolerance: float = 7.0) -> DataFrame:
     A token joins the first line whose running mean height is within ``tolerance``; tokens come by height, then
     position. Groups are the tokens near one marker, so they are small.
     """
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["cy", "x"], kind="stable").reset_index(drop=True)
-        means: list[list[float]] = []
-        rows = []
-        for cy in group["cy"]:
-            hit = next((n for n, (s, c) in enumerate(means) if abs(s / c - cy) <= tolerance), None)
-            if hit is None:
-                means.append([0.0, 0])
-                hit = len(means) - 1
-            means[hit][0] += cy
-            means[hit][1] += 1
-            rows.append(hit)
-        return group.assign(row=rows)
-
-    return tokens.groupBy("document", "page", "marker").applyInPandas(run, "document string, page int, marker string, x double, cy double, text string, row int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for document, page, marker, near in batch.itertuples(index=False):
+                means: list[tuple[float, int]] = []
+                for t in near:
+                    hit = next((n for n, (total, count) in enumerate(means) if abs(total / count - t["cy"]) <= tolerance), len(means))
+                    if hit == len(means):
+                        means.append((0.0, 0))
+                    means[hit] = means[hit][0] + t["cy"], means[hit][1] + 1
+                    out.append((document, page, marker, t["x"], t["cy"], t["text"], hit))
+            yield pd.DataFrame(out, columns=["document", "page", "marker", "x", "cy", "text", "row"])
+
+    near = tokens.groupBy("document", "page", "marker").agg(F.array_sort(F.collect_list(F.struct("cy", "x", "text"))).alias("near"))
+    return near.mapInPandas(run, "document string, page int, marker string, x double, cy double, text string, row int")
 
 
 def geometry_formulas(tokens: DataFrame, tolerance: float = 7.0, reach: float = 38.0) -> DataFrame:
