@@ -243,7 +243,7 @@ def entities(documents: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """
     spark = documents.sparkSession
     texts = documents.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''")
-    held = spark.sparkContext.broadcast(word_filters(texts))
+    held = spark.sparkContext.broadcast(word_filters(spread(texts)))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -318,7 +318,7 @@ def _draw_word(word: str, key: str, attempt: int) -> str:
     stream = _stream(key, "word", word, attempt)
     pick = lambda pool: pool[next(stream) % len(pool)]
     out = _other_letter(word[0], key)
-    if len(word) == 1:
+    if len(word) == 1 and attempt < 8:
         return out
     for n in range(max(2, len(word) // 3) + attempt // 4):  # later attempts are longer, so there is always room
         out += (pick(consonants) if n or out[-1] in vowels else "") + pick(vowels) + pick(codas)
@@ -376,7 +376,8 @@ def _draw(kind: str, unit: str, key: str, attempt: int) -> str:
         same = [c for c in (("1", "7") if len(code) == 1 else sorted(_TWO)) if c != code and len(c) == len(code)]
         return (f"{same[next(stream) % len(same)] if same else ''.join(_other_digit(c, next(stream), 2) for c in code)}:" if code else "") + "".join(out)
     words = re.sub(r"[^\W\d_]+", lambda m: m[0] if m[0] in _FORMAT_WORDS else _draw_word(m[0], f"{key}{next(stream)}", attempt), unit)
-    return re.sub(r"\d+", lambda m: "".join(_other_digit(c, next(stream), int(n == 0)) for n, c in enumerate(m[0])), words)
+    more = max(0, attempt - 15)
+    return re.sub(r"\d+", lambda m: "".join(_other_digit(c, next(stream), int(n == 0)) for n, c in enumerate(m[0])) + "".join(str(next(stream) % 10) for _ in range(more)), words)
 
 
 def _cased(shape: str, new: str) -> str:
