@@ -296,11 +296,15 @@ def split(texts: DataFrame, keys: list[str], text: str = "text", chunk: int = CH
             yield out
 
     short = known.where(F.length("_text") <= chunk).mapInPandas(whole, f"{schema}, start_char int")
-    pieces = known.where(F.length("_text") > chunk).select(
-        *keys, F.explode(F.transform(
-            F.sequence(F.lit(0), F.floor((F.length("_text") - 1) / chunk).cast("int")),
-            lambda k: F.struct(k.alias("k"), F.substring(F.col("_text"), F.greatest(k * chunk - CONTEXT, F.lit(0)) + 1, F.lit(chunk + 2 * CONTEXT + 700)).alias("t")))).alias("c"))
-    pieces = pieces.select(*keys, "c.k", "c.t")
+    def pieced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, row in batch.iterrows():  # one long text at a time
+                ks = range((len(row["_text"]) - 1) // chunk + 1)
+                out = pd.DataFrame({name: [row[name]] * len(ks) for name in keys})
+                out["k"], out["t"] = np.array(ks, np.int32), [row["_text"][(at := max(k * chunk - CONTEXT, 0)) : at + chunk + 2 * CONTEXT + 700] for k in ks]
+                yield out
+
+    pieces = known.where(F.length("_text") > chunk).mapInPandas(pieced, f"{schema}, k int, t string")
 
     def span(k: int, t: str) -> tuple[list[int], list[int], int]:
         lead = min(CONTEXT, k * chunk)
