@@ -94,8 +94,8 @@ def meanings(df: DataFrame, keys: list[str], document: str) -> DataFrame:
     once = Window.partitionBy(*keys, F.lower("phrase")).orderBy("tier", "distance", "evidence", "phrase")
     best = Window.partitionBy(*keys).orderBy("tier", "distance", F.desc("score"), "evidence", "phrase")
     chosen = candidates.withColumn("_r", F.row_number().over(once)).where("_r = 1").withColumn("_r", F.row_number().over(best)).where("_r = 1")
-    sure = F.when((F.col("tier") == 1) & (F.col("distance") == 0) | (F.col("tier") <= 3) & (F.col("score") >= 0.6), "high").when(F.col("score") >= 0.45, "medium").otherwise("low")
-    joined = shaped.select(*keys, document, "role").join(chosen.select(*keys, "phrase", "stage", "evidence", sure.alias("sure")), keys, "left")
+    chosen = chosen.withColumn("embedding_selected", F.lit(False))  # there is no embedding of sentences here
+    joined = shaped.select(*keys, document, "role").join(chosen.select(*keys, "phrase", "stage", "evidence", R.candidate_confidence().alias("sure")), keys, "left")
     own = F.col("phrase").isNotNull()
     named = joined.select(
         *keys, document, "role", F.coalesce("phrase", "role", F.lit("")).alias("meaning"),
