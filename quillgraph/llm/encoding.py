@@ -268,9 +268,19 @@ class Judge:
         for k, runs in gains.items():
             total = sum(r[3] for r in runs)
             if total >= LEAST:
-                out.append((self.tables.pairs[k][0], total, _spliced(text, runs)))
+                out.append((self.tables.pairs[k][0], total, _spliced(text, self._with_short(text, runs, self.tables.pairs[k][1]))))
         return out
 
+    @staticmethod
+    def _with_short(text: str, runs: list[tuple], table: dict[int, str]) -> list[tuple]:
+        """The runs, and with them those too short to prove anything, where nearly all that is not ASCII is garbled."""
+        every = [m.span() for m in _RUN.finditer(text)]
+        if sum(r[1] - r[0] for r in runs) < 0.8 * sum(b - a for a, b in every):
+            return runs
+        taken = {r[0] for r in runs}
+        short = [(a, b, after) for a, b in every if a not in taken and text[a:b].isalpha() and (after := text[a:b].translate(table)).isalpha()]
+        return sorted([*(r[:3] for r in runs), *short])
+
     def _wide(self, text: str) -> list[tuple[str, float, str]]:
         """Two-byte encodings taken for one-byte ones: stretches of characters that are all bytes of the wrong one."""
         out = []

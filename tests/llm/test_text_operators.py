@@ -235,6 +235,14 @@ def test_garbled(spark):
     assert encoding.found(e.limit(0)).count() == 0
 
 
+def test_a_hot_source_garbled_throughout(spark):
+    clean = ["ядро памяти мало и спектр шума мал", "оператор плотности мал", "узел решётки мал и закон затухания мал", "спектр шума задаёт узел решётки"]
+    rows = [(n, f"p{n % 40}", "x = 1", clean[n % 4], None) for n in range(160)]
+    rows += [(1000 + n, "hot", "x = 1", clean[n % 4].encode("koi8_r").decode("cp1251"), None) for n in range(80)]
+    got = {r.id: r.restored for r in encoding.diagnose(encoding.fields_of(spark.createDataFrame(rows, EQUATIONS))).collect()}
+    assert set(got) == set(range(1000, 1080)) and got[1000] == clean[0]
+
+
 # ---------------------------------------------------------------- sentences
 
 
